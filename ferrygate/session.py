@@ -21,6 +21,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
