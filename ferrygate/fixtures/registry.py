@@ -26,7 +26,7 @@ from ..schemas import (
     TRADE_FLOWS,
     TRADE_FLOWS_KEY,
 )
-from ..session import materialize, scratch_dir
+from ..session import materialize, scratch_dir, spread
 from ..sources import bronze, deadletter, extracts
 from ..sources.envelopes import filter_endpoint
 from . import tables as t
@@ -218,8 +218,9 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = governance.pii_findings(t.table(spark, sf_dir, "documents"), "documents", "doc_id")
-    pages = governance.pii_findings(t.table(spark, sf_dir, "pages"), "pages", "page_id")
+    documents, pages = (spread(t.table(spark, sf_dir, n)) for n in ("documents", "pages"))
+    documents = governance.pii_findings(documents, "documents", "doc_id")
+    pages = governance.pii_findings(pages, "pages", "page_id")
     return documents.unionByName(pages)
 
 

@@ -8,17 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.lineage import run_events
 from ..schemas import ENDPOINTS
+from ..session import spread
 from ..sources.deadletter import manifests
 
 ENDPOINT = "preview"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One given table; its footer is read for the schema only the first time."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _nation(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
@@ -33,7 +42,7 @@ def _nation(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow records with load stamp and run id, plus ``l_orderkey`` to derive dirty values."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_sum
+from ..functions.numeric import micro_units, money, whole_units
 from ..schemas import REPORTER_SUMMARY, TRADE_FLOWS
 from .staging import valid_measures
 
@@ -18,32 +18,43 @@ EARLIEST = "0000"
 
 
 def flows_exact(staged: DataFrame) -> DataFrame:
-    """Flows at their natural grain with the value still decimal."""
+    """Flows at their natural grain; the value stays in exact parts ``_units`` and ``_micros``."""
+    value = F.col("trade_value_usd")
     return (
         valid_measures(staged)
         .groupBy(*FLOW_DIMENSIONS)
         .agg(
-            exact_sum(F.col("trade_value_usd")).alias("trade_value_usd"),
+            F.sum(whole_units(value)).alias("_units"),
+            F.sum(micro_units(value)).alias("_micros"),
             F.count("*").alias("source_record_count"),
         )
     )
 
 
 def as_trade_flows(exact: DataFrame) -> DataFrame:
-    return exact.withColumn("trade_value_usd", F.col("trade_value_usd").cast("double"))
+    value = money(F.col("_units"), F.col("_micros")).cast("double")
+    return exact.select(*FLOW_DIMENSIONS, value.alias("trade_value_usd"), "source_record_count")
 
 
 def trade_flows(staged: DataFrame) -> DataFrame:
     return as_trade_flows(flows_exact(staged))
 
 
-def _summarise(rows: DataFrame, total: Column, exports: Column, imports: Column) -> DataFrame:
+def _sum_of(parts: tuple[Column, Column], flow: str | None = None) -> Column:
+    """Exact sum over all flows or, with 0 for every other row, over one."""
+    if flow is not None:
+        chosen = F.col("flow_code") == flow
+        parts = tuple(F.when(chosen, part).otherwise(F.lit(0)) for part in parts)
+    return money(*(F.sum(part) for part in parts))
+
+
+def _summarise(rows: DataFrame, parts: tuple[Column, Column]) -> DataFrame:
     return (
         rows.groupBy(*REPORTER_DIMENSIONS)
         .agg(
-            exports.alias("_x"),
-            imports.alias("_m"),
-            total.alias("_t"),
+            _sum_of(parts, "X").alias("_x"),
+            _sum_of(parts, "M").alias("_m"),
+            _sum_of(parts).alias("_t"),
             # Distinct values are reduced on the map side, so a reporter with very many rows
             # sends only its distinct commodities and partners over the network.
             F.count_distinct("commodity_code").alias("commodity_count"),
@@ -61,23 +72,15 @@ def _summarise(rows: DataFrame, total: Column, exports: Column, imports: Column)
     )
 
 
-def _only(flow: str) -> Column:
-    return F.when(F.col("flow_code") == flow, F.col("trade_value_usd")).otherwise(F.lit(0))
-
-
 def reporter_summary(staged: DataFrame) -> DataFrame:
     """Totals per reporter and period; the total covers every flow, re-exports included."""
     value = F.col("trade_value_usd")
-    return _summarise(
-        valid_measures(staged), exact_sum(value), exact_sum(_only("X")), exact_sum(_only("M"))
-    )
+    return _summarise(valid_measures(staged), (whole_units(value), micro_units(value)))
 
 
 def summary_from_flows(exact: DataFrame) -> DataFrame:
     """The same summary from :func:`flows_exact`, whose grain is finer: no second bronze scan."""
-    return _summarise(
-        exact, F.sum("trade_value_usd"), F.sum(_only("X")), F.sum(_only("M"))
-    )
+    return _summarise(exact, (F.col("_units"), F.col("_micros")))
 
 
 def guard_of(target: DataFrame | None, mode: str = "per_freq") -> dict[str | None, str]:

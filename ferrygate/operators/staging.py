@@ -52,7 +52,9 @@ def rejected_preview(bronze: DataFrame) -> DataFrame:
 
 
 def valid_measures(staged: DataFrame) -> DataFrame:
-    return staged.filter(F.col("trade_value_usd") >= 0)
+    """Present and not negative. Spark orders NaN above every number, so it is named."""
+    value = F.col("trade_value_usd")
+    return staged.filter((value >= 0) & ~F.isnan(value))
 
 
 def granted_view(silver: DataFrame, principal: str, table: str) -> DataFrame:

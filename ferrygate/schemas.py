@@ -26,7 +26,7 @@ class Endpoint:
     dims: tuple[str, ...] = ()
     fields: StructType = field(default_factory=StructType)
     # filter parameter -> record field
-    filters: dict[str, str] = field(default_factory=dict)
+    filters: dict[str, str | None] = field(default_factory=dict)
     required: tuple[str, ...] = ()
     numeric: tuple[str, ...] = ()
     dedup: tuple[str, ...] = ()
@@ -99,6 +99,9 @@ ENDPOINTS: dict[str, Endpoint] = {
                 "country_code": "reporterCode",
                 "period": "period",
                 "period_type": "freqCode",
+                "year": "period",
+                "table_type": "tableType",
+                "format": None,  # shape of the response, not of its rows
             },
         ),
         Endpoint(

@@ -58,3 +58,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """One partition per core for a scan that yields fewer, such as a file of one row group.
+
+    A file of one row group is read by one task, and every narrow step after it would stay there.
+    Filters and column pruning still reach the scan. A table of many files is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -205,12 +205,24 @@ def matches_list(column: Column, codes: str) -> Column:
 
 
 def filter_endpoint(records: DataFrame, endpoint: str, **params: str | None) -> DataFrame:
-    """Apply an endpoint's optional filter parameters to landed or bronze rows."""
+    """Apply an endpoint's optional filter parameters to landed or bronze rows.
+
+    A parameter that is ``None`` does not filter; several codes are separated by commas.
+    """
     allowed = endpoint_spec(endpoint).filters
     unknown = sorted(name for name in params if name not in allowed)
     if unknown:
         raise ValueError(f"{endpoint} has no filter {', '.join(unknown)}")
+    columns = {name.lower() for name in records.columns}
     for name, codes in params.items():
-        if codes is not None:
-            records = records.filter(matches_list(F.col(allowed[name]), str(codes)))
+        if codes is None or allowed[name] is None:
+            continue
+        field_name = allowed[name]
+        if name == "year":
+            value = F.substring(field_name, 1, 4)
+        elif field_name.lower() in columns:
+            value = F.col(field_name)
+        else:
+            value = F.col("_extra")[field_name]
+        records = records.filter(matches_list(value, str(codes)))
     return records

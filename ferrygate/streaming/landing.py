@@ -11,11 +11,21 @@ from ..sources.envelopes import RAW_FILES, with_envelope_columns, with_path_colu
 
 
 def stream_envelopes(
-    spark: SparkSession, root: str, max_files: int = 10_000, glob: str = RAW_FILES
+    spark: SparkSession,
+    root: str,
+    max_files: int = 10_000,
+    glob: str = RAW_FILES,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New envelope files below ``root`` as a stream, one row per file."""
+    """New envelope files below ``root`` as a stream, one row per file.
+
+    With ``archive`` finished files move there, which keeps the listing of ``root`` short.
+    """
+    source = spark.readStream.format("text")
+    if archive:
+        source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     files = (
-        spark.readStream.format("text")
+        source
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
@@ -38,6 +48,7 @@ def start_landing_load(
     checkpoint: str,
     name: str = "landing",
     max_files: int = 10_000,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Process all files that are there now, in micro-batches, then stop.
 
@@ -50,7 +61,7 @@ def start_landing_load(
             ingest(batch, bronze_root, state_root, utc_now(), f"{name}-{batch_id}")
 
     return (
-        stream_envelopes(spark, root, max_files)
+        stream_envelopes(spark, root, max_files, archive=archive)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .queryName(name)

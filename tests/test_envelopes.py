@@ -136,6 +136,16 @@ def test_endpoint_filter(spark):
         filter_endpoint(rows, "preview", motCode="1")
 
 
+def test_bulletin_filters(spark):
+    rows = spark.createDataFrame(
+        [("2023", "T35", {"tableType": "a"}), ("202301", "T35", None), ("2022", "T38", None)],
+        "period string, seriesType string, _extra map<string,string>",
+    )
+    count = lambda **params: filter_endpoint(rows, "getMBS", **params).count()
+    assert count(year="2023") == 2 and count(series_type="T35,T38", year="2022") == 1
+    assert count(table_type="a") == 1 and count(format="json") == 3
+
+
 def test_filter_reaches_parquet(spark, root):
     spark.range(3).select(F.col("id").cast("string").alias("reporterCode")).write.parquet(root + "/t")
     df = filter_endpoint(spark.read.parquet(root + "/t"), "preview", reporterCode="1,2")

@@ -17,7 +17,7 @@ from ferrygate.plans.loads import (
 from ferrygate.schemas import REPORTER_SUMMARY, TRADE_FLOWS
 from ferrygate.sources.bronze import append_bronze, read_bronze
 from ferrygate.sources.deadletter import scan_manifests
-from ferrygate.sources.envelopes import read_envelopes, scan_raw
+from ferrygate.sources.envelopes import parse_record_lines, read_envelopes, scan_raw
 
 NOW = "2024-03-01T00:00:00+00:00"
 
@@ -95,7 +95,7 @@ def test_backfill_request_is_checked_first(conf):
 
 def test_backfill_defaults():
     request = validate_backfill({"endpoint": "preview", "periods": ["2020", "202101"]})
-    assert (request.type_code, request.freq_code, request.cl_code) == ("C", "A", "HS")
+    assert (request.type_code, request.freq_code, request.cl_code) == ("C", None, "HS")
 
 
 def test_backfill(spark, tmp_path):
@@ -117,6 +117,22 @@ def test_backfill(spark, tmp_path):
     assert sorted(r["period"] for r in loaded) == ["2020", "2020", "202101"]
 
 
+def test_backfill_with_a_named_frequency(spark, tmp_path):
+    rows = frame(spark, [flow(period="2020"), flow(period="202101", freqCode="M")])
+    conf = {"endpoint": "preview", "periods": ["2020", "202101"], "freq_code": "A"}
+    status = as_dicts(backfill(rows, conf, f"{tmp_path}/b", NOW, strict=False), "period")
+    assert [s["status"] for s in status] == ["success", "error"]
+
+
+def test_record_lines_load_like_envelopes(spark, tmp_path):
+    land(tmp_path, "good", [], text="\n".join(json.dumps(flow(cmdCode=i)) for i in range(3)))
+    land(tmp_path, "bad", [], text=json.dumps(flow()) + "\n{oops")
+    lines = parse_record_lines(scan_raw(spark, f"{tmp_path}/raw", "preview", whole=False))
+    report = ingest(lines, f"{tmp_path}/bronze", f"{tmp_path}/state", NOW, "x")
+    assert [r["run_id"] for r in report.failures.collect()] == ["bad"]
+    assert read_bronze(spark, f"{tmp_path}/bronze", "preview").count() == 3
+
+
 def test_backfill_filters_codes(spark, tmp_path):
     rows = frame(spark, [flow(period="2020"), flow(period="2020", reporterCode="1")])
     conf = {"endpoint": "preview", "periods": ["2020"], "reporter_code": "1,2"}
