@@ -87,26 +87,34 @@ def _check(name: str, **only) -> Query:
     return run
 
 
+def suite_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite over the dirty records, of which it needs a few columns and two passes."""
+    options = check_options()
+    rows = t.dirty_preview(spark, sf_dir).select(*quality.RUN, "freqcode", *options.columns())
+    return quality.run_suite(materialize(rows, "records"), options)
+
+
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(quality.run_suite(t.dirty_preview(spark, sf_dir), check_options()))
+    return _flat(suite_results(spark, sf_dir))
 
 
 def validation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = quality.run_suite(t.dirty_preview(spark, sf_dir), check_options())
-    return metrics.validation_metrics(results)
+    return metrics.validation_metrics(suite_results(spark, sf_dir))
 
 
 def gate_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.failed_runs(quality.run_suite(t.dirty_preview(spark, sf_dir), check_options()))
+    return quality.failed_runs(suite_results(spark, sf_dir))
 
 
 def column_tests(test: str) -> Query:
     """One kind of declared test over bronze, staging and silver of the dirty rows."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = lenient_staged(spark, sf_dir)
+        # Four tables are built from the same records: they are joined together once.
+        dirty = materialize(t.dirty_preview(spark, sf_dir), "dirty")
+        rows = stage_preview(dirty, lenient=True)
         frames = {
-            "preview": t.dirty_preview(spark, sf_dir),
+            "preview": dirty,
             "stg_preview": rows,
             "trade_flows": trade_flows(rows),
             "reporter_summary": reporter_summary(rows),
@@ -140,8 +148,10 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = t.user_key_records(spark, sf_dir)
-    before = drift.observed_json_keys(records.filter(F.col("day") < DRIFT_DAY), "record")
-    after = drift.observed_json_keys(records.filter(F.col("day") >= DRIFT_DAY), "record")
+    before, after = (
+        materialize(drift.observed_json_keys(records.filter(part), "record"), "columns")
+        for part in (F.col("day") < DRIFT_DAY, F.col("day") >= DRIFT_DAY)
+    )
     return drift.drift(after, before)
 
 
@@ -157,8 +167,8 @@ def _newer(rows: DataFrame) -> DataFrame:
 
 
 def incremental_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staged(spark, sf_dir)
-    guard = guard_of(_older(rows).select("freq_code", "period"))
+    rows = materialize(staged(spark, sf_dir).select("freq_code", "period"), "staged")
+    guard = guard_of(_older(rows))
     return (
         incremental(rows, guard, "per_freq")
         .groupBy("freq_code", "period")
@@ -168,7 +178,7 @@ def incremental_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert(aggregate, keys, schema, label: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = staged(spark, sf_dir)
+        rows = materialize(staged(spark, sf_dir), "staged")
         path = scratch_dir(spark, label)
         upsert(materialize(aggregate(_older(rows)), label), path, keys, schema)
         upsert(materialize(aggregate(_newer(rows)), label), path, keys, schema)
@@ -189,7 +199,7 @@ def backfill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads with a build after each; the second one is incremental."""
     work = scratch_dir(spark, "build")
-    rows = t.landed_fields(t.bronze_preview(spark, sf_dir))
+    rows = materialize(t.landed_fields(t.bronze_preview(spark, sf_dir)), "landed")
     first = F.substring("period", 1, 4) < str(SPLIT_YEAR)
     for load, part in (("a", rows.filter(first)), ("b", rows.filter(~first))):
         bronze.append_bronze(part, f"{work}/bronze", t.ENDPOINT, LOADED_AT, load)

@@ -34,11 +34,18 @@ def check_columns(found: StructType, declared: StructType) -> None:
         raise SchemaConflict(f"columns differ from the table: {changed}")
 
 
-def check_unique(source: DataFrame, keys: tuple[str, ...]) -> None:
-    repeated = source.groupBy(*keys).count().filter("count > 1").limit(5).collect()
-    if repeated:
+def periods_of(source: DataFrame, keys: tuple[str, ...]) -> list[str | None]:
+    """Distinct periods of a source whose keys are unique; as many as the table has folders.
+
+    Raises :class:`DuplicateSourceKeys` where a key comes twice.
+    """
+    counted = source.groupBy(*keys).count()
+    rows = counted.groupBy(PARTITION).agg(F.max("count").alias("most")).collect()
+    if any(row["most"] > 1 for row in rows):
+        repeated = counted.filter("count > 1").limit(5).collect()
         sample = [tuple(row[key] for key in keys) for row in repeated]
         raise DuplicateSourceKeys(f"source keys are not unique, for example {sample}")
+    return sorted((row[PARTITION] for row in rows), key=lambda p: (p is None, p or ""))
 
 
 def merged_rows(target: DataFrame, source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -72,18 +79,17 @@ def upsert(
     spark = source.sparkSession
     check_columns(source.schema, schema)
     source = source.select(*schema.names)
-    check_unique(source, keys)
+    touched = periods_of(source, keys)
     if full:
         source.hint("rebalance", PARTITION).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).partitionBy(PARTITION).parquet(path)
-        return _periods(source)
+        return touched
     target = read_silver(spark, path, schema)
     if target is None:
         _write(source, path)
-        return _periods(source)
+        return touched
     _check_stored(spark, path, schema)
-    touched = _periods(source)
     if not touched:
         return []
     inside = F.col(PARTITION).isin(*[p for p in touched if p is not None])
@@ -93,12 +99,6 @@ def upsert(
     return touched
 
 
-def _periods(source: DataFrame) -> list[str | None]:
-    """Distinct partition values; as many as the table has folders."""
-    rows = source.select(PARTITION).distinct().collect()
-    return sorted((row[0] for row in rows), key=lambda p: (p is None, p or ""))
-
-
 def _check_stored(spark: SparkSession, path: str, schema: StructType) -> None:
     stored = spark.read.parquet(path).schema
     declared = StructType([f for f in schema.fields if f.name != PARTITION])
