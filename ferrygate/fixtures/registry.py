@@ -141,8 +141,9 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {"preview": t.bronze_preview(spark, sf_dir), "getmbs": t.bronze_mbs(spark, sf_dir)}
+    newest = F.to_utc_timestamp("max_loaded_at", F.current_timezone())
     return freshness.freshness_report(sources, FRESH_NOW).withColumn(
-        "max_loaded_at", F.date_format("max_loaded_at", t.ISO_FORMAT)
+        "max_loaded_at", F.date_format(newest, t.ISO_FORMAT)
     )
 
 

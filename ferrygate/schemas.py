@@ -127,6 +127,8 @@ ENDPOINTS: dict[str, Endpoint] = {
     )
 }
 
+BRONZE_TABLES = tuple(ENDPOINTS)
+SILVER_TABLES = ("reporter_summary", "trade_flows")
 BACKFILL_ENDPOINTS = ("preview", "previewTariffline", "getMBS")
 
 

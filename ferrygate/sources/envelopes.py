@@ -33,12 +33,14 @@ def text_partitions(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def with_envelope_columns(files: DataFrame, text: str = "value") -> DataFrame:
+def with_envelope_columns(
+    files: DataFrame, text: str = "value", as_json: bool = False
+) -> DataFrame:
     """Add the parsed envelope to rows holding one file's text each.
 
     Adds ``kind`` (object, list, other, or null when unparsable), ``has_data``, ``data_is_list``,
     ``keys_present`` (objects without ``data`` only), ``elapsed_ms``, ``declared_count`` and
-    ``records``, an array of record maps.
+    ``records``, an array of record maps or, with ``as_json``, of JSON texts.
 
     The text is parsed inside a one-element list, because a value followed by stray text
     would otherwise pass as valid.
@@ -62,6 +64,11 @@ def with_envelope_columns(files: DataFrame, text: str = "value") -> DataFrame:
     items = F.when(
         F.col("kind") == "list", F.try_variant_get("_wrapped", "$[0]", "array<variant>")
     ).when(is_object, F.try_variant_get("_wrapped", "$[0].data", "array<variant>"))
+    if as_json:
+        records, empty = F.transform("_items", lambda item: F.to_json(item)), "array<string>"
+    else:
+        records = F.transform("_items", lambda item: F.try_variant_get(item, "$", FIELDS))
+        empty = f"array<{FIELDS}>"
     return (
         parsed.withColumn("kind", kind)
         .withColumn("_items", items)
@@ -82,13 +89,7 @@ def with_envelope_columns(files: DataFrame, text: str = "value") -> DataFrame:
         .withColumn(
             "declared_count", F.when(is_object, F.try_variant_get("_wrapped", "$[0].count", "long"))
         )
-        .withColumn(
-            "records",
-            F.coalesce(
-                F.transform("_items", lambda item: F.try_variant_get(item, "$", FIELDS)),
-                F.array().cast(f"array<{FIELDS}>"),
-            ),
-        )
+        .withColumn("records", F.coalesce(records, F.array().cast(empty)))
         .drop("_body", "_wrapped", "_items")
     )
 
@@ -129,31 +130,47 @@ def read_envelopes(spark: SparkSession, root: str, glob: str = RAW_FILES) -> Dat
     return with_envelope_columns(with_path_columns(files, root)).drop("value")
 
 
-def scan_raw(spark: SparkSession, root: str, endpoint: str, whole: bool = True) -> DataFrame:
-    """Raw files of one endpoint with its path dimensions as text partition columns.
-
-    Filters on the dimensions prune folders. Dimensions an archive does not have are null.
+def raw_folders(root: str, endpoint: str, extra: tuple[str, ...] = (), **dims: str) -> str:
+    """Folder (pattern) of an endpoint's files, narrowed by the given dimensions."""
+    names = partition_columns(endpoint_spec(endpoint))
+    names = [*names[:-2], *extra, *names[-2:]]
+    unknown = sorted(set(dims) - set(names))
+    if unknown:
+        raise ValueError(f"{endpoint} has no dimension {', '.join(unknown)}")
+    depth = max((names.index(name) + 1 for name in dims), default=0)
+    parts = [f"{name}={dims.get(name, '*')}" for name in names[:depth]]
+    return "/".join([root.rstrip("/"), endpoint, *parts])
+
+
+def scan_raw(
+    spark: SparkSession,
+    root: str,
+    endpoint: str,
+    whole: bool = True,
+    extra: tuple[str, ...] = (),
+    **dims: str,
+) -> DataFrame:
+    """Raw files of one endpoint with its path dimensions as text columns.
+
+    Only the folders of the given ``dims`` are listed (``year="2023", month="01"``). Dimensions an
+    archive does not have are null. Values come from each file's path: a month folder may hold
+    plain files, ``run_id=`` folders and a Parquet copy, which partition discovery refuses to mix.
     """
-    with text_partitions(spark):
-        files = (
-            spark.read.option("wholetext", str(whole).lower())
-            .option("pathGlobFilter", RAW_FILES)
-            .text(f"{root.rstrip('/')}/{endpoint}")
-        )
-    spec = endpoint_spec(endpoint)
-    known = {*partition_columns(spec), "value", "run_id"}
     path = F.col("_metadata.file_path")
-    return files.select(
-        "value",
-        *(
-            F.col(name) if name in files.columns else F.lit(None).cast("string").alias(name)
-            for name in partition_columns(spec)
-        ),
-        *(name for name in files.columns if name not in known),
-        F.lit(spec.name).alias("endpoint"),
-        path_run_id(path).alias("run_id"),
-        path.alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
+    names = [*partition_columns(endpoint_spec(endpoint)), *extra]
+    return (
+        spark.read.option("wholetext", str(whole).lower())
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", RAW_FILES)
+        .text(raw_folders(root, endpoint, extra, **dims))
+        .select(
+            "value",
+            *(path_value(path, name).alias(name) for name in names),
+            F.lit(endpoint_spec(endpoint).name).alias("endpoint"),
+            path_run_id(path).alias("run_id"),
+            path.alias("file_path"),
+            F.col("_metadata.file_size").alias("file_size"),
+        )
     )
 
 

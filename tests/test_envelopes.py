@@ -7,6 +7,7 @@ from ferrygate.sources.envelopes import (
     explode_records,
     filter_endpoint,
     parse_record_lines,
+    raw_folders,
     read_envelopes,
     scan_raw,
     typed_records,
@@ -92,13 +93,15 @@ def test_scan_of_one_endpoint_keeps_text_dimensions(spark, zone):
     assert dict(df.dtypes)["month"] == "string"
     got = {(r["run_id"], r["month"]) for r in df.filter("freq = 'M'").collect()}
     assert got == {("run-2", "02")}
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    assert spark.conf.get(setting) == "true"
 
 
-def test_dimension_filter_prunes_folders(spark, zone):
-    plan = scan_raw(spark, zone, "preview").filter("month = '01'")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan
+def test_given_dimensions_limit_the_listing(spark, zone):
+    files = scan_raw(spark, zone, "preview", month="01").inputFiles()
+    assert [f.rsplit("/", 1)[1] for f in files] == ["run-1.json"]
+    assert raw_folders("/z", "getMBS", year="2024") == "/z/getMBS/series_type=*/year=2024"
+    assert raw_folders("/z/", "preview") == "/z/preview"
+    with pytest.raises(ValueError):
+        raw_folders("/z", "getReleases", freq="A")
 
 
 def test_explode_keeps_runs_without_records(spark, zone):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ferrygate.operators.coltests import ColumnTestError
 from ferrygate.operators.freshness import StaleSource
+from ferrygate.operators.lineage import lineage_edges
 from ferrygate.operators.upsert import read_silver
 from ferrygate.plans.loads import (
     BackfillError,
@@ -53,6 +54,13 @@ def test_good_runs_load_and_bad_runs_are_dead_lettered(spark, tmp_path):
     assert letters["broken"]["exception_type"] == "DataQualityError"
     assert (letters["nulls"]["year"], letters["nulls"]["month"]) == ("2024", "03")
     assert report.failures.count() == 3
+    points = spark.read.parquet(f"{tmp_path}/state/metrics")
+    failed = points.filter("metric = 'ChecksFailed' AND value > 0").count()
+    assert failed >= 3 and points.filter("metric = 'JsonBytesWritten'").count() == 6
+    edges = lineage_edges(spark.read.parquet(f"{tmp_path}/state/lineage")).collect()
+    assert sorted(e["job"] for e in edges) == [
+        "ingest_getWorldShare.append_bronze", "ingest_preview.append_bronze", "ingest_preview.append_bronze",
+    ]
 
 
 def test_repeated_load_does_not_double_rows(spark, tmp_path):
