@@ -69,3 +69,20 @@ def test_alarm_matches_batch_and_drops_late_points(spark, root):
     # Long after its window closed: not counted, and no window fires twice.
     put(spark, root + "/in", [("2024-01-01 00:06:00", 500.0), ("2024-01-01 04:00:00", 1.0)])
     assert run_alarm(spark, root) == expected
+
+
+def test_archived_files_leave_the_zone(spark, tmp_path):
+    def run():
+        start_landing_load(
+            spark, f"{tmp_path}/raw", f"{tmp_path}/bronze", f"{tmp_path}/state", f"{tmp_path}/ckpt",
+            archive=f"{tmp_path}/done",
+        ).awaitTermination()
+
+    land(tmp_path, "a", [flow()])
+    run()
+    land(tmp_path, "b", [flow(cmdCode="1")])
+    run()
+    land(tmp_path, "c", [flow(cmdCode="2")])
+    run()
+    assert read_bronze(spark, f"{tmp_path}/bronze", "preview").count() == 3
+    assert [p.name for p in (tmp_path / "done").rglob("a.json")] == ["a.json"]
