@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import exact, mixing
 
 QUERIES = {
     "op7_mixing": mixing.op7_mixing,
+    "op10_exact_dedup": exact.op10_exact_dedup,
 }
 
 ORACLES = {
     "op7_mixing": mixing.OP7_SQL,
+    "op10_exact_dedup": exact.OP10_SQL,
 }
