@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact, mixing
+from . import exact, mixing, secrets
 
 QUERIES = {
+    "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 
 ORACLES = {
+    "op6_secrets": secrets.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
 }
