@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact, mixing, secrets
+from . import exact, langid, mixing, secrets
 
 QUERIES = {
+    "op2_language_id": langid.op2_language_id,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
     "op10_exact_dedup": exact.op10_exact_dedup,
