@@ -2,7 +2,7 @@
 
 A text is lower-cased, everything but letters becomes a blank, and its byte n-grams (2 to 4 bytes) are hashed into buckets. The
 mean of the buckets' embeddings goes through a linear softmax. Both are trained together by stochastic gradient
-descent in numpy on a bounded sample: at most ``PER_LANGUAGE`` documents of each language, ``WINDOWS`` windows of
+descent in numpy on a bounded sample: about ``PER_LANGUAGE`` documents of each language by the hash of the id, ``WINDOWS`` windows of
 ``WINDOW`` letters from each. Predictions read whole texts, in slices of constant memory; embedding and softmax are
 multiplied into one bucket-by-language table first.
 
@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
@@ -128,20 +128,18 @@ def train(windows: list[str], targets: np.ndarray, languages: list[str], seed: i
 
 def _sampled(docs: DataFrame, usable: Column) -> tuple[DataFrame, list[str]]:
     """A bounded sample per language by the hash of the id, and the languages in order."""
-    order = F.xxhash64("doc_id", F.lit("langid"))
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ranked = rows.select("lang", order.alias("order")).select(
-        "*", F.row_number().over(Window.partitionBy("lang").orderBy("order")).alias("rank")
-    )
     # one row per language, as many as the model has classes
-    limits = ranked.filter(F.col("rank") <= PER_LANGUAGE).groupBy("lang").agg(F.max("order").alias("limit")).collect()
-    if not limits:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not counts:
         return rows.limit(0), []
+    order = F.xxhash64("doc_id", F.lit("langid"))
+    share = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
     wanted = F.lit(False)
-    for row in limits:
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (order <= row["limit"]))
-    sample = rows.filter(wanted).select("lang", "text", order.alias("order")).limit(2 * PER_LANGUAGE * len(limits))
-    return sample, sorted(row["lang"] for row in limits)
+    for row in counts:
+        wanted = wanted | ((F.col("lang") == row["lang"]) & (share < PER_LANGUAGE / row["n"]))
+    sample = rows.filter(wanted).select("lang", "text", order.alias("order")).limit(2 * PER_LANGUAGE * len(counts))
+    return sample, sorted(row["lang"] for row in counts)
 
 
 def fit(docs: DataFrame, usable: Column) -> LanguageModel:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact, langid, mixing, secrets
+from . import exact, langid, mixing, secrets, tokens, toxicity
 
 QUERIES = {
     "op2_language_id": langid.op2_language_id,
+    "op3_token_counts": tokens.op3_token_counts,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
     "op10_exact_dedup": exact.op10_exact_dedup,

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..filesystem import exists
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from .common import table, text_or_empty
 
 
@@ -135,7 +135,8 @@ def report(versions: DataFrame, ledger: DataFrame, rules: list[Rule] = RULES) ->
         F.col("sha").alias("blob"), *(F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in rules), spans.alias("spans")
     )
     paths = versions.select("doc_id", blob_name(text_or_empty()).alias("sha"))
-    return paths.join(per_blob, F.col("sha") == F.col("blob")).drop("blob")
+    # written first: a join of two plain shuffles can be split where one blob has very many paths
+    return paths.join(materialize(per_blob, "findings"), F.col("sha") == F.col("blob")).drop("blob")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
