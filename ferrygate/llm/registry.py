@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact, langid, mixing, secrets, tokens, toxicity
+from . import exact, langid, mixing, secrets, tokens, toxicity, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_language_id": langid.op2_language_id,
     "op3_token_counts": tokens.op3_token_counts,
     "op5_toxicity": toxicity.op5_toxicity,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_warc": warc.OP1_SQL,
     "op6_secrets": secrets.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
