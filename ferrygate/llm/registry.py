@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact, langid, mixing, secrets, tokens, toxicity, warc
+from . import exact, langid, mixing, pii, secrets, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
+    "op9_personal_data": pii.op9_personal_data,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }
 
