@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact, langid, mixing, pii, secrets, tokens, toxicity, warc
+from . import exact, langid, mixing, neardup, pii, secrets, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_language_id": langid.op2_language_id,
     "op3_token_counts": tokens.op3_token_counts,
+    "op4_near_duplicates": neardup.op4_near_duplicates,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
