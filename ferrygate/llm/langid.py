@@ -207,6 +207,16 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
     return source.mapInArrow(run, schema)
 
 
+def rejects(model: LanguageModel):
+    """A column function: whether the model rejects a text, for filters that leave all other columns alone."""
+
+    @F.pandas_udf("boolean")
+    def rejected(text: pd.Series) -> pd.Series:
+        return pd.Series(model.predict([None if t is None else str(t) for t in text])[2])
+
+    return rejected
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds of ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -72,7 +72,7 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
         ).alias("level"),
     )
     reached = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))
-    return levels.select("*", F.min(reached).over(Window.partitionBy()).alias("reached")).select(
+    return levels.select("*", F.max(reached).over(Window.partitionBy()).alias("reached")).select(
         "source", "source_size", F.least(F.col("reached") * F.col("weight"), F.col("cap")).alias("target"), "n"
     )
 
@@ -149,7 +149,7 @@ levels AS (
   FROM ordered),
 targets AS (
   SELECT source, source_size,
-    least(min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap) AS target
+    least(max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap) AS target
   FROM levels),
 epochs AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS e FROM targets)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact, langid, mixing, neardup, pii, secrets, tokens, toxicity, warc
+from . import decontam, exact, langid, mixing, neardup, pii, secrets, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_secrets": secrets.op6_secrets,
     "op7_mixing": mixing.op7_mixing,
+    "op8_decontamination": decontam.op8_decontamination,
     "op9_personal_data": pii.op9_personal_data,
     "op10_exact_dedup": exact.op10_exact_dedup,
 }

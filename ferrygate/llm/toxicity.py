@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
                     "role": frame["role"],
                     "toxic": frame["toxic"],
                     "sketch": [",".join(map(str, m)) for m in mixed],
-                    "buckets": [s.astype(np.int32) for s in sets],
+                    "buckets": [s.astype(np.int32).tobytes() for s in sets],
                 }
             )
 
@@ -247,15 +247,15 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(roles), "doc_id")
-        .limit(2 * (POSITIVES + UNLABELLED + LABELLED))
-        .mapInPandas(features, "doc_id long, role string, toxic int, sketch string, buckets array<int>")
+        .mapInPandas(features, "doc_id long, role string, toxic int, sketch string, buckets binary")
+        .dropDuplicates(["role", "doc_id"])  # as many rows as were chosen, even where an id repeats
         .toPandas()
         .sort_values(["role", "doc_id", "sketch"], kind="stable")
     )
     sets = {role: _thinned(part) for role, part in rows.groupby("role")}
 
     def of(role: str) -> list[np.ndarray]:
-        return [np.asarray(b, np.int64) for b in sets[role]["buckets"]] if role in sets else []
+        return [np.frombuffer(b, np.int32).astype(np.int64) for b in sets[role]["buckets"]] if role in sets else []
 
     if not of("positive"):
         return ToxicityModel(np.zeros(1 << BITS, np.float32), 0.0, constant=0.0)
