@@ -246,7 +246,7 @@ def _expressions() -> str:
 _SPLIT = str(r.SPLIT_YEAR)
 _OLDER = f"older AS (SELECT * FROM staged WHERE period[1:4] <= '{_SPLIT}')"
 _NEWER = f"""newer AS (SELECT * REPLACE (trade_value_usd * 2 AS trade_value_usd) FROM staged
-  WHERE period[1:4] >= '{_SPLIT}' AND flow_code IN ('X', 'M'))"""
+  WHERE period[1:4] >= '{_SPLIT}')"""
 
 
 def _upserted(aggregate, keys) -> str:
@@ -488,6 +488,10 @@ ORACLES: dict[str, str] = {
     SELECT s.freq_code, s.period, count(*) AS n_rows
     FROM staged s LEFT JOIN guard g ON s.freq_code = g.freq_code
     WHERE s.period >= coalesce(g.newest, '0000') GROUP BY s.freq_code, s.period""",
+    "guard_reference": _CLEAN
+    + f""" SELECT freq_code, period, count(*) AS n_rows FROM staged
+    WHERE period >= (SELECT max(period) FROM staged WHERE period[1:4] <= '{_SPLIT}')
+    GROUP BY freq_code, period""",
     "upsert_flows": _upserted(_flows, r.TRADE_FLOWS_KEY),
     "upsert_summary": _upserted(_summary, r.REPORTER_SUMMARY_KEY),
     "backfill_status": _backfill(),
@@ -519,7 +523,8 @@ ORACLES: dict[str, str] = {
     "scan_alarm": f"""
     SELECT w AS window_start, w + INTERVAL 5 MINUTE AS window_end, total FROM (
       SELECT time_bucket(INTERVAL '5 minutes', ts) AS w,
-        CAST(sum(CAST(value AS {MONEY})) AS DOUBLE) AS total FROM events GROUP BY w)
+        CAST(sum(CAST(value AS {MONEY})) AS DOUBLE) AS total FROM events
+      WHERE event_type = 'purchase' GROUP BY w)
     WHERE total > {r.ALARM_LIMIT}""",
     "lineage_edges": f"""
     WITH tasks AS (SELECT event_type, user_id, {_UUID} AS h FROM events WHERE event_type <> 'view')

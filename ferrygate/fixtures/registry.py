@@ -26,7 +26,7 @@ from ..schemas import (
     TRADE_FLOWS,
     TRADE_FLOWS_KEY,
 )
-from ..session import materialize, scratch_dir, spread
+from ..session import materialize, scratch_dir
 from ..sources import bronze, deadletter, extracts
 from ..sources.envelopes import filter_endpoint
 from . import tables as t
@@ -40,7 +40,8 @@ LOADED_AT = "2002-01-01T00:00:00+00:00"
 FRESH_NOW = "2001-08-30T00:00:00+00:00"
 RETENTION_NOW = "2024-04-14T12:00:00+00:00"
 DRIFT_DAY = "2024-01-16"
-ALARM_LIMIT = 60.0
+ALARM_LIMIT = 20.0
+ALARM_METRIC = "JsonBytesWritten"
 BACKFILL_PERIODS = ["1996", "1997", "199901", "2099"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,20 +162,18 @@ def _older(rows: DataFrame) -> DataFrame:
 
 
 def _newer(rows: DataFrame) -> DataFrame:
-    """Rows from the split year on, exports and imports only, with doubled values."""
-    return rows.filter(
-        (F.substring("period", 1, 4) >= str(SPLIT_YEAR)) & F.col("flow_code").isin("X", "M")
-    ).withColumn("trade_value_usd", F.col("trade_value_usd") * 2)
-
-
-def incremental_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialize(staged(spark, sf_dir).select("freq_code", "period"), "staged")
-    guard = guard_of(_older(rows))
-    return (
-        incremental(rows, guard, "per_freq")
-        .groupBy("freq_code", "period")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    """Rows from the split year on, with doubled values."""
+    newer = rows.filter(F.substring("period", 1, 4) >= str(SPLIT_YEAR))
+    return newer.withColumn("trade_value_usd", F.col("trade_value_usd") * 2)
+
+
+def guarded(mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = materialize(staged(spark, sf_dir).select("freq_code", "period"), "staged")
+        passed = incremental(rows, guard_of(_older(rows), mode), mode)
+        return passed.groupBy("freq_code", "period").agg(F.count("*").alias("n_rows"))
+
+    return run
 
 
 def _upsert(aggregate, keys, schema, label: str) -> Query:
@@ -193,7 +192,7 @@ def backfill_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoiled = (F.col("period") == YEAR) & (F.col("l_orderkey") % 97 == 0)
     code = F.when(~spoiled, F.col("reportercode"))
     records = t.landed_fields(rows.withColumn("reportercode", code))
-    conf = {"endpoint": t.ENDPOINT, "periods": BACKFILL_PERIODS}
+    conf = {"endpoint": t.ENDPOINT, "periods": BACKFILL_PERIODS, "freq_code": None}
     return loads.backfill(records, conf, scratch_dir(spark, "bronze"), LOADED_AT, strict=False)
 
 
@@ -229,7 +228,7 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pii_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, pages = (spread(t.table(spark, sf_dir, n)) for n in ("documents", "pages"))
+    documents, pages = (t.table(spark, sf_dir, n) for n in ("documents", "pages"))
     documents = governance.pii_findings(documents, "documents", "doc_id")
     pages = governance.pii_findings(pages, "pages", "page_id")
     return documents.unionByName(pages)
@@ -274,7 +273,8 @@ QUERIES: dict[str, Query] = {
     "quarantine": quarantined,
     "source_freshness": source_freshness,
     "schema_drift": schema_drift,
-    "incremental_guard": incremental_guard,
+    "incremental_guard": guarded("per_freq"),
+    "guard_reference": guarded("reference"),
     "upsert_flows": _upsert(trade_flows, TRADE_FLOWS_KEY, TRADE_FLOWS, "flows"),
     "upsert_summary": _upsert(
         reporter_summary, REPORTER_SUMMARY_KEY, REPORTER_SUMMARY, "summary"
@@ -288,7 +288,7 @@ QUERIES: dict[str, Query] = {
     "daily_sums": _on_points(metrics.daily_sums),
     "failure_rate": _on_points(metrics.failure_rate),
     "avg_duration": _on_points(metrics.daily_average),
-    "scan_alarm": _on_points(lambda p: metrics.scan_alarm(p, ALARM_LIMIT)),
+    "scan_alarm": _on_points(lambda p: metrics.scan_alarm(p, ALARM_LIMIT, ALARM_METRIC)),
     "lineage_edges": lambda spark, sf_dir: lineage_edges(t.lineage_events(spark, sf_dir)),
     "manifest_counts": manifest_counts,
     "retention_kept": retention_kept,

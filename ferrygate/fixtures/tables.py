@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from ..operators.lineage import run_events
 from ..schemas import ENDPOINTS
-from ..session import spread
 from ..sources.deadletter import manifests
 
 ENDPOINT = "preview"
@@ -22,12 +21,16 @@ ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 _schemas: dict[str, StructType] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; its footer is read for the schema only the first time."""
+def table(spark: SparkSession, sf_dir: str, name: str, tasks: int | None = None) -> DataFrame:
+    """One given table; its footer is read for the schema only the first time.
+
+    ``tasks`` deals the rows out: the given file of order lines is one row group, which one task reads.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    rows = spark.read.schema(_schemas[path]).parquet(path)
+    return rows if tasks is None else rows.repartition(tasks)
 
 
 def _nation(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
@@ -42,7 +45,7 @@ def _nation(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flow records with load stamp and run id, plus ``l_orderkey`` to derive dirty values."""
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = table(spark, sf_dir, "lineitem", spark.sparkContext.defaultParallelism)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -133,12 +136,16 @@ def landed_fields(rows: DataFrame) -> DataFrame:
 
 
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points_of(table(spark, sf_dir, "events"))
+
+
+def points_of(events: DataFrame) -> DataFrame:
     """Events as metric points."""
     kind = F.col("event_type")
     user = F.col("user_id")
     dag = F.concat(F.lit("dag-"), user.cast("string"))
     phase = F.concat(F.lit("phase-"), (user % 5).cast("string"))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "ts",
         F.when(kind == "view", "ChecksPassed")
         .when(kind == "error", "ChecksFailed")

@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 MICROS = Decimal("0.000001")
 
+#: Amounts from here on, and infinities, are added as doubles.
+LARGE = 1e12
+#: A difference from six decimals of less than so many times the amount is how doubles write those decimals.
+NOISE = 2.0**-51
 
-def whole_units(value: Column) -> Column:
-    """Whole part of an amount; out of range is an error in ANSI mode."""
-    return value.cast("bigint")
 
-
-def micro_units(value: Column) -> Column:
-    """Fraction of an amount in millionths."""
-    return F.rint((value - whole_units(value)) * F.lit(1e6)).cast("bigint")
+def sum_parts(value: Column) -> tuple[Column, Column, Column, Column]:
+    """An amount as whole units, millionths, the rest in 1e-15 units, and, where it is large, as a double."""
+    normal = F.abs(value) < F.lit(LARGE)
+    units = F.when(normal, value.try_cast("bigint"))
+    fraction = value - units.cast("double")
+    micros = F.rint(fraction * F.lit(1e6))
+    rest = fraction - micros * F.lit(1e-6)
+    rest = F.when(F.abs(rest) > F.abs(value) * F.lit(NOISE), rest).otherwise(F.lit(0.0))
+    return units, micros.cast("bigint"), F.rint(rest * F.lit(1e15)).cast("bigint"), F.when(~normal, value)
 
 
 def money(units: Column, micros: Column) -> Column:
@@ -25,14 +31,23 @@ def money(units: Column, micros: Column) -> Column:
     return units.cast("decimal(26,6)") + micros.cast("decimal(19,0)") * F.lit(MICROS)
 
 
+def total(units: Column, micros: Column, rest: Column, large: Column) -> Column:
+    """Summed parts as one double; null where there was nothing to sum."""
+    zero = F.lit(0)
+    exact = money(F.coalesce(units, zero), F.coalesce(micros, zero)).cast("double")
+    summed = exact + F.coalesce(rest, zero).cast("double") * F.lit(1e-15) + F.coalesce(large, F.lit(0.0))
+    return F.when(units.isNotNull() | large.isNotNull(), summed)
+
+
 def exact_sum(value: Column) -> Column:
-    """Order-independent sum, still decimal; cast to double where the result surfaces.
+    """Order-independent sum of doubles, null without values.
 
     Adding doubles depends on the order rows arrive in, so a retried task could change the last
-    digits. Whole and fractional parts are added as integers instead, which stays in generated
-    code with primitive buffers; decimals in the buffer would cost an object per row.
+    digits. The parts of each amount are added as integers instead, which stays in generated
+    code with primitive buffers; decimals in the buffer would cost an object per row. Only amounts
+    of ``LARGE`` or more, and infinities, are added as doubles beside them.
     """
-    return money(F.sum(whole_units(value)), F.sum(micro_units(value)))
+    return total(*(F.sum(part) for part in sum_parts(value)))
 
 
 def half_up(value: Column, digits: int) -> Column:

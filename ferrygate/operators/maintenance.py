@@ -7,10 +7,20 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..filesystem import exists, file_sizes, remove_folder
-from ..sources.bronze import LOAD_ID, stored_columns, table_path
-from ..sources.deadletter import PARTITIONS, scan_manifests
+from ..sources.bronze import (
+    COMPACTED,
+    LOAD_ID,
+    SOURCE_LOAD,
+    merge_columns,
+    note_columns,
+    stored_columns,
+    table_path,
+)
+from ..sources.deadletter import LOAD, PARTITIONS, scan_manifests
+from ..sources.layout import decoded
 
 log = logging.getLogger(__name__)
 
@@ -18,6 +28,8 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 FILES_PER_JOB = 10_000
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
+FOLDERS = (*PARTITIONS, LOAD)
+
 # Fixed value: age limit of manifests in days.
 RETENTION_DAYS = 90
 
@@ -28,16 +40,18 @@ class MaintenanceError(Exception):
 
 def _leaf(partitions: list[str]) -> Column:
     """Name of a row's partition folder. Built from partition columns only, so it prunes."""
+    if not partitions:
+        return F.lit("")
     return F.concat_ws("/", *(F.coalesce(F.col(p), F.lit(NULL_FOLDER)) for p in partitions))
 
 
 def crowded_leaves(
     spark: SparkSession, path: str, partitions: list[str], target_bytes: int
 ) -> DataFrame:
-    """``leaf, files, bytes, wanted`` of folders holding more files than they need."""
+    """``leaf, files, bytes, wanted`` of the folders of ``partitions`` that hold more files than they need."""
     files = file_sizes(spark, path).select(
         *(
-            F.url_decode(F.regexp_extract("path", f"/{name}=([^/]*)/", 1)).alias(name)
+            decoded(F.regexp_extract("path", f"/{name}=([^/]*)/", 1)).alias(name)
             for name in partitions
         ),
         "length",
@@ -62,35 +76,62 @@ def _jobs(leaves: dict[str, int]) -> Iterator[dict[str, int]]:
 
 
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> list[str]:
-    """Rewrite crowded partition folders into files near the target size.
+    """Merge the loads of crowded periods into one folder with files near the target size.
 
-    Rows do not change. Each folder's rows are spread over as many tasks as it needs files, so a
-    very large folder is not written by one task. Returns the folders rewritten.
+    Rows do not change: those of all loads of a period go to the folder ``load_id=compacted``, each with the load it
+    came from, so that a load that is repeated later can still replace its rows (see ``append_bronze``). The merged
+    folders are removed afterwards; if that is cut short, the next compaction recognises their rows and leaves them out.
+    A period's rows are spread over as many tasks as it needs files. Returns the periods rewritten.
     """
     columns = stored_columns(spark, path)
     if columns is None:
         raise FileNotFoundError(path)
-    partitions = [name for name in ("period", LOAD_ID) if name in columns.names]
-    found = crowded_leaves(spark, path, partitions, target_bytes).collect()
+    keys = ["period"] if "period" in columns.names else []
+    found = crowded_leaves(spark, path, keys, target_bytes).collect()
     leaves = {row["leaf"]: row["wanted"] for row in found}
+    loads = LOAD_ID in columns.names
+    if leaves and loads:
+        note_columns(spark, path, merge_columns(columns, StructType.fromDDL(f"{SOURCE_LOAD} string")))
     for group in _jobs(leaves):
-        wanted = F.create_map(*[F.lit(x) for pair in group.items() for x in pair])
-        leaf = _leaf(partitions)
+        rows = spark.read.schema(stored_columns(spark, path)).parquet(path)
+        wanted = spark.createDataFrame(list(group.items()), "_leaf string, _wanted int")
+        rows = rows.withColumn("_leaf", _leaf(keys)).filter(F.col("_leaf").isin(*group))
+        old = []
+        if loads:
+            rows, old = _merged(rows, keys)
         (
-            spark.read.schema(columns)
-            .parquet(path)
-            .filter(leaf.isin(*group))
-            .withColumn("_slot", F.floor(F.rand(7) * wanted[leaf]))
-            .repartition(sum(group.values()), *partitions, "_slot")
-            .drop("_slot")
+            rows.join(wanted, "_leaf")
+            .withColumn("_slot", F.floor(F.rand(7) * F.col("_wanted")))
+            .repartition(sum(group.values()), "_leaf", "_slot")
+            .drop("_slot", "_leaf", "_wanted")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions)
+            .partitionBy(*keys, *([LOAD_ID] if loads else []))
             .parquet(path)
         )
+        for row in old:
+            remove_folder(spark, f"{path.rstrip('/')}/{_folder(spark, row, (*keys, LOAD_ID))}")
     return sorted(leaves)
 
 
+def _merged(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list]:
+    """All rows under the common load folder, those of earlier compactions once, and the folders they replace."""
+    merged = rows.filter(F.col(LOAD_ID) == COMPACTED)
+    loads = rows.filter(F.col(LOAD_ID) != COMPACTED)
+    there = merged.select("_leaf", SOURCE_LOAD).distinct()
+    fresh = loads.withColumn(SOURCE_LOAD, F.col(LOAD_ID)).join(there, ["_leaf", SOURCE_LOAD], "left_anti")
+    both = merged.unionByName(fresh).withColumn(LOAD_ID, F.lit(COMPACTED))
+    return both, loads.select(*keys, LOAD_ID).distinct().collect()
+
+
+def _folder(spark: SparkSession, row, names) -> str:
+    """Relative folder of a partition."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(
+        f"{n}={NULL_FOLDER if row[n] is None else escape.escapePathName(row[n])}" for n in names
+    )
+
+
 def maintain(
     spark: SparkSession, root: str, tables: list[str], target_bytes: int = TARGET_FILE_BYTES
 ) -> dict[str, list[str]]:
@@ -109,9 +150,9 @@ def maintain(
 
 
 def is_expired(now: str, days: int = RETENTION_DAYS) -> Column:
-    """Older than ``days`` at ``now`` (ISO-8601 text)."""
-    age = F.unix_micros(F.to_timestamp(F.lit(now))) - F.unix_micros(F.to_timestamp("failed_at"))
-    return age > days * 86_400_000_000
+    """Older than ``days`` at ``now`` (ISO-8601 text); what has no readable stamp is kept."""
+    age = F.unix_micros(F.to_timestamp(F.lit(now))) - F.unix_micros(F.try_to_timestamp("failed_at"))
+    return F.coalesce(age > days * 86_400_000_000, F.lit(False))
 
 
 def retained(manifests: DataFrame, now: str, days: int = RETENTION_DAYS) -> DataFrame:
@@ -124,9 +165,9 @@ def apply_retention(
     """Delete expired manifests; returns how many. Folders without expired rows are not touched."""
     if not exists(spark, path):
         return 0
-    rows = scan_manifests(spark, path)
+    rows = scan_manifests(spark, path, with_load=True)
     per_folder = (
-        rows.groupBy(*PARTITIONS)
+        rows.groupBy(*FOLDERS)
         .agg(F.count_if(is_expired(now, days)).alias("gone"), F.count("*").alias("n"))
         .filter("gone > 0")
         .collect()
@@ -134,23 +175,18 @@ def apply_retention(
     partly = [row for row in per_folder if row["gone"] < row["n"]]
     if partly:
         wanted = [
-            "/".join(NULL_FOLDER if row[p] is None else row[p] for p in PARTITIONS)
+            "/".join(NULL_FOLDER if row[p] is None else row[p] for p in FOLDERS)
             for row in partly
         ]
         (
-            retained(rows.filter(_leaf(list(PARTITIONS)).isin(*wanted)), now, days)
-            .hint("rebalance", *PARTITIONS)
+            retained(rows.filter(_leaf(list(FOLDERS)).isin(*wanted)), now, days)
+            .hint("rebalance", *FOLDERS)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
+            .partitionBy(*FOLDERS)
             .json(path)
         )
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for row in per_folder:
         if row["gone"] == row["n"]:
-            folder = "/".join(
-                f"{p}={NULL_FOLDER if row[p] is None else escape.escapePathName(row[p])}"
-                for p in PARTITIONS
-            )
-            remove_folder(spark, f"{path.rstrip('/')}/{folder}")
+            remove_folder(spark, f"{path.rstrip('/')}/{_folder(spark, row, FOLDERS)}")
     return sum(row["gone"] for row in per_folder)

@@ -85,7 +85,7 @@ def daily_sums(points: DataFrame, metrics: tuple[str, ...] = SUM_METRICS) -> Dat
     """Sum per metric, dimension set and day."""
     return (
         _by_day(points.filter(F.col("metric").isin(*metrics)), "metric", "dims")
-        .agg(exact_sum(F.col("value")).cast("double").alias("total"))
+        .agg(exact_sum(F.col("value")).alias("total"))
         .select(_day(), "metric", "dims", "total")
     )
 
@@ -95,7 +95,7 @@ def daily_average(points: DataFrame, metric: str = DURATION_METRIC) -> DataFrame
     return (
         _by_day(points.filter(F.col("metric") == metric), "metric", "dims")
         .agg(
-            (exact_sum(F.col("value")).cast("double") / F.count("value")).alias("average"),
+            (exact_sum(F.col("value")) / F.count("value")).alias("average"),
         )
         .select(_day(), "metric", "dims", "average")
     )
@@ -110,8 +110,8 @@ def failure_rate(points: DataFrame) -> DataFrame:
     return (
         _by_day(checks, "dims")
         .agg(
-            failed.cast("double").alias("failed"),
-            exact_sum(F.col("value")).cast("double").alias("checks"),
+            failed.alias("failed"),
+            exact_sum(F.col("value")).alias("checks"),
         )
         .select(
             _day(),
@@ -125,7 +125,7 @@ def alarm_sums(points: DataFrame, metric: str | None, window: str = ALARM_WINDOW
     """Sum per tumbling window; works on a batch and on a stream with a watermark."""
     rows = points if metric is None else points.filter(F.col("metric") == metric)
     return rows.groupBy(F.window("ts", window).alias("w")).agg(
-        exact_sum(F.col("value")).cast("double").alias("total")
+        exact_sum(F.col("value")).alias("total")
     )
 
 

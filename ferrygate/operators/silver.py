@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import micro_units, money, whole_units
+from ..functions.numeric import sum_parts, total
 from ..schemas import REPORTER_SUMMARY, TRADE_FLOWS
 from .staging import valid_measures
 
@@ -15,24 +15,24 @@ FLOW_DIMENSIONS = tuple(TRADE_FLOWS.names[:13])
 REPORTER_DIMENSIONS = tuple(REPORTER_SUMMARY.names[:5])
 
 EARLIEST = "0000"
+PARTS = ("_units", "_micros", "_rest", "_large")
 
 
 def flows_exact(staged: DataFrame) -> DataFrame:
-    """Flows at their natural grain; the value stays in exact parts ``_units`` and ``_micros``."""
-    value = F.col("trade_value_usd")
+    """Flows at their natural grain; the value stays in the exact parts ``PARTS``."""
+    parts = sum_parts(F.col("trade_value_usd"))
     return (
         valid_measures(staged)
         .groupBy(*FLOW_DIMENSIONS)
         .agg(
-            F.sum(whole_units(value)).alias("_units"),
-            F.sum(micro_units(value)).alias("_micros"),
+            *(F.sum(part).alias(name) for part, name in zip(parts, PARTS)),
             F.count("*").alias("source_record_count"),
         )
     )
 
 
 def as_trade_flows(exact: DataFrame) -> DataFrame:
-    value = money(F.col("_units"), F.col("_micros")).cast("double")
+    value = total(*map(F.col, PARTS))
     return exact.select(*FLOW_DIMENSIONS, value.alias("trade_value_usd"), "source_record_count")
 
 
@@ -40,21 +40,25 @@ def trade_flows(staged: DataFrame) -> DataFrame:
     return as_trade_flows(flows_exact(staged))
 
 
-def _sum_of(parts: tuple[Column, Column], flow: str | None = None) -> Column:
-    """Exact sum over all flows or, with 0 for every other row, over one."""
+def _sums_of(parts: tuple[Column, ...], name: str, flow: str | None = None) -> list[Column]:
+    """Sums of the parts over all flows or over one."""
     if flow is not None:
-        chosen = F.col("flow_code") == flow
-        parts = tuple(F.when(chosen, part).otherwise(F.lit(0)) for part in parts)
-    return money(*(F.sum(part) for part in parts))
+        parts = tuple(F.when(F.col("flow_code") == flow, part) for part in parts)
+    return [F.sum(part).alias(f"{name}{part_name}") for part, part_name in zip(parts, PARTS)]
 
 
-def _summarise(rows: DataFrame, parts: tuple[Column, Column]) -> DataFrame:
+def _summarise(rows: DataFrame, parts: tuple[Column, ...]) -> DataFrame:
+    def summed(name: str) -> list[Column]:
+        return [F.col(f"{name}{part}") for part in PARTS]
+
+    zero = F.lit(0)
+    balance = total(*(F.coalesce(x, zero) - F.coalesce(m, zero) for x, m in zip(summed("x"), summed("m"))))
     return (
         rows.groupBy(*REPORTER_DIMENSIONS)
         .agg(
-            _sum_of(parts, "X").alias("_x"),
-            _sum_of(parts, "M").alias("_m"),
-            _sum_of(parts).alias("_t"),
+            *_sums_of(parts, "x", "X"),
+            *_sums_of(parts, "m", "M"),
+            *_sums_of(parts, "t"),
             # Distinct values are reduced on the map side, so a reporter with very many rows
             # sends only its distinct commodities and partners over the network.
             F.count_distinct("commodity_code").alias("commodity_count"),
@@ -62,10 +66,10 @@ def _summarise(rows: DataFrame, parts: tuple[Column, Column]) -> DataFrame:
         )
         .select(
             *REPORTER_DIMENSIONS,
-            F.col("_x").cast("double").alias("export_value_usd"),
-            F.col("_m").cast("double").alias("import_value_usd"),
-            F.col("_t").cast("double").alias("total_trade_value_usd"),
-            (F.col("_x") - F.col("_m")).cast("double").alias("trade_balance_usd"),
+            F.coalesce(total(*summed("x")), F.lit(0.0)).alias("export_value_usd"),
+            F.coalesce(total(*summed("m")), F.lit(0.0)).alias("import_value_usd"),
+            total(*summed("t")).alias("total_trade_value_usd"),
+            balance.alias("trade_balance_usd"),
             "commodity_count",
             "partner_count",
         )
@@ -74,13 +78,12 @@ def _summarise(rows: DataFrame, parts: tuple[Column, Column]) -> DataFrame:
 
 def reporter_summary(staged: DataFrame) -> DataFrame:
     """Totals per reporter and period; the total covers every flow, re-exports included."""
-    value = F.col("trade_value_usd")
-    return _summarise(valid_measures(staged), (whole_units(value), micro_units(value)))
+    return _summarise(valid_measures(staged), sum_parts(F.col("trade_value_usd")))
 
 
 def summary_from_flows(exact: DataFrame) -> DataFrame:
     """The same summary from :func:`flows_exact`, whose grain is finer: no second bronze scan."""
-    return _summarise(exact, (F.col("_units"), F.col("_micros")))
+    return _summarise(exact, tuple(map(F.col, PARTS)))
 
 
 def guard_of(target: DataFrame | None, mode: str = "per_freq") -> dict[str | None, str]:

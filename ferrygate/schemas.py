@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import (
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+TEXT, INT, DOUBLE, LONG = StringType(), IntegerType(), DoubleType(), LongType()
 
 
 def _text_columns(*names: str) -> StructType:
@@ -144,30 +139,69 @@ def endpoint(name: str) -> Endpoint:
     return Endpoint(name)
 
 
-def _columns(spec: str) -> StructType:
-    types = {"s": StringType(), "i": IntegerType(), "d": DoubleType(), "l": LongType()}
-    pairs = (item.split(":") for item in spec.split())
-    return StructType([StructField(name, types[code]) for name, code in pairs])
-
-
-STG_PREVIEW = _columns(
-    "reporter_code:i reporter_iso:s reporter_name:s partner_code:i partner_iso:s partner_name:s "
-    "commodity_code:s commodity_name:s flow_code:s flow_name:s period:s freq_code:s type_code:s "
-    "trade_value_usd:d"
+STG_PREVIEW = StructType(
+    [
+        StructField("reporter_code", INT),
+        StructField("reporter_iso", TEXT),
+        StructField("reporter_name", TEXT),
+        StructField("partner_code", INT),
+        StructField("partner_iso", TEXT),
+        StructField("partner_name", TEXT),
+        StructField("commodity_code", TEXT),
+        StructField("commodity_name", TEXT),
+        StructField("flow_code", TEXT),
+        StructField("flow_name", TEXT),
+        StructField("period", TEXT),
+        StructField("freq_code", TEXT),
+        StructField("type_code", TEXT),
+        StructField("trade_value_usd", DOUBLE),
+    ]
 )
-STG_MBS = _columns(
-    "period:s freq_code:s series_type:s series_name:s reporter_code:i reporter_iso:s "
-    "reporter_name:s trade_value_usd:d"
+STG_MBS = StructType(
+    [
+        StructField("period", TEXT),
+        StructField("freq_code", TEXT),
+        StructField("series_type", TEXT),
+        StructField("series_name", TEXT),
+        StructField("reporter_code", INT),
+        StructField("reporter_iso", TEXT),
+        StructField("reporter_name", TEXT),
+        StructField("trade_value_usd", DOUBLE),
+    ]
 )
-TRADE_FLOWS = _columns(
-    "period:s freq_code:s type_code:s reporter_code:i reporter_iso:s reporter_name:s "
-    "partner_code:i partner_iso:s partner_name:s commodity_code:s commodity_name:s flow_code:s "
-    "flow_name:s trade_value_usd:d source_record_count:l"
+TRADE_FLOWS = StructType(
+    [
+        StructField("period", TEXT),
+        StructField("freq_code", TEXT),
+        StructField("type_code", TEXT),
+        StructField("reporter_code", INT),
+        StructField("reporter_iso", TEXT),
+        StructField("reporter_name", TEXT),
+        StructField("partner_code", INT),
+        StructField("partner_iso", TEXT),
+        StructField("partner_name", TEXT),
+        StructField("commodity_code", TEXT),
+        StructField("commodity_name", TEXT),
+        StructField("flow_code", TEXT),
+        StructField("flow_name", TEXT),
+        StructField("trade_value_usd", DOUBLE),
+        StructField("source_record_count", LONG),
+    ]
 )
-REPORTER_SUMMARY = _columns(
-    "period:s freq_code:s reporter_code:i reporter_iso:s reporter_name:s export_value_usd:d "
-    "import_value_usd:d total_trade_value_usd:d trade_balance_usd:d commodity_count:l "
-    "partner_count:l"
+REPORTER_SUMMARY = StructType(
+    [
+        StructField("period", TEXT),
+        StructField("freq_code", TEXT),
+        StructField("reporter_code", INT),
+        StructField("reporter_iso", TEXT),
+        StructField("reporter_name", TEXT),
+        StructField("export_value_usd", DOUBLE),
+        StructField("import_value_usd", DOUBLE),
+        StructField("total_trade_value_usd", DOUBLE),
+        StructField("trade_balance_usd", DOUBLE),
+        StructField("commodity_count", LONG),
+        StructField("partner_count", LONG),
+    ]
 )
 
 TRADE_FLOWS_KEY = (

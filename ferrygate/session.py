@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .filesystem import remove_folder
+
 _local_scratch: list[str] = []
 
 
@@ -52,19 +54,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several actions need the same result: it cuts the lineage, outlives
-    lost executors, and stays columnar so later reads prune and push down.
+    lost executors, and stays columnar so later reads prune and push down. Who made a copy
+    for itself hands it to :func:`release` when it is done.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy._scratch_path = path
+    return copy
 
-def spread(df: DataFrame) -> DataFrame:
-    """One partition per core for a scan that yields fewer, such as a file of one row group.
 
-    A file of one row group is read by one task, and every narrow step after it would stay there.
-    Filters and column pruning still reach the scan. A table of many files is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def release(*copies: DataFrame) -> None:
+    """Remove materialised copies that nothing reads any more."""
+    for copy in copies:
+        if path := getattr(copy, "_scratch_path", None):
+            remove_folder(copy.sparkSession, path)

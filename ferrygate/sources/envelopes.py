@@ -18,7 +18,10 @@ from .layout import partition_columns, path_endpoint, path_run_id, path_value
 
 _JSON_BLANKS = " \n\r\t"
 FIELDS = "map<string,string>"
-RAW_FILES = "*.{json,txt}"
+RAW_FILES = "*.{json,txt,json.gz,txt.gz}"
+
+# Bare words that other writers put where JSON has no value; they are read as text.
+_BARE = r"(?<=[:,\[])(\s*)(-?(?:NaN|Infinity))(?=\s*[,\]}])"
 
 
 @contextmanager
@@ -46,8 +49,10 @@ def with_envelope_columns(
     would otherwise pass as valid.
     """
     body = F.trim(F.col(text), F.lit(_JSON_BLANKS))
+    wrapped = F.concat(F.lit("["), F.col("_body"), F.lit("]"))
+    quoted = F.regexp_replace(wrapped, _BARE, '$1"$2"')
     parsed = files.withColumn("_body", body).withColumn(
-        "_wrapped", F.try_parse_json(F.concat(F.lit("["), F.col("_body"), F.lit("]")))
+        "_wrapped", F.coalesce(F.try_parse_json(wrapped), F.try_parse_json(quoted))
     )
     first, last = F.left("_body", F.lit(1)), F.right("_body", F.lit(1))
     whole = F.col("_wrapped").isNotNull() & (

@@ -111,10 +111,10 @@ def test_explode_keeps_runs_without_records(spark, zone):
 
 
 def test_typed_records_put_unknown_fields_aside(spark):
-    text = json.dumps({"data": [{"reporterCode": 840, "period": "2023", "odd": [1]}, 5]})
+    text = json.dumps({"data": [{"reporterCode": 578, "period": "2023", "odd": [1]}, 5]})
     env = with_envelope_columns(spark.createDataFrame([(text,)], "value string"))
     rows = typed_records(explode_records(env), "preview").collect()
-    assert rows[0]["reporterCode"] == "840" and rows[0]["_extra"] == {"odd": "[1]"}
+    assert rows[0]["reporterCode"] == "578" and rows[0]["_extra"] == {"odd": "[1]"}
     assert rows[1]["reporterCode"] is None and rows[1]["_extra"] is None
 
 
@@ -130,11 +130,11 @@ def test_record_lines(spark):
 
 def test_endpoint_filter(spark):
     rows = spark.createDataFrame(
-        [("840", "2023", "X"), ("276", "2023", "M"), ("36", "2022", "X")],
+        [("578", "2023", "X"), ("858", "2023", "M"), ("36", "2022", "X")],
         "reporterCode string, period string, flowCode string",
     )
-    got = filter_endpoint(rows, "preview", reporterCode="840, 36", flowCode=None)
-    assert {r[0] for r in got.collect()} == {"840", "36"}
+    got = filter_endpoint(rows, "preview", reporterCode="578, 36", flowCode=None)
+    assert {r[0] for r in got.collect()} == {"578", "36"}
     with pytest.raises(ValueError):
         filter_endpoint(rows, "preview", motCode="1")
 

@@ -23,7 +23,7 @@ def test_stage_preview(spark):
     staged = stage_preview(frame(spark, rows))
     assert types(staged.schema) == types(STG_PREVIEW)
     assert staged.count() == 2
-    assert staged.first()["reporter_code"] == 840
+    assert staged.first()["reporter_code"] == 578
 
 
 def test_bad_cast_fails_unless_lenient(spark):
@@ -62,10 +62,10 @@ def test_trade_flows(spark):
         for r in flows.collect()
     }
     assert got == {
-        ("X", 276, "TOTAL"): (15.0, 2),
-        ("M", 276, "TOTAL"): (4.0, 1),
-        ("Re-Export", None, "TOTAL"): (2.0, 1),
-        ("X", 276, None): (1.0, 1),
+        ("X", 858, "0305"): (15.0, 2),
+        ("M", 858, "0305"): (4.0, 1),
+        ("Re-Export", None, "0305"): (2.0, 1),
+        ("X", 858, None): (1.0, 1),
     }
 
 
