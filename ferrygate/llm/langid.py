@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 BUCKETS, DIM, ORDERS = 1 << 16, 16, (2, 3, 4)
-PER_LANGUAGE, WINDOWS, WINDOW = 1500, 4, 240
+PER_LANGUAGE, WINDOWS, WINDOW = 1000, 4, 200
 EPOCHS, BATCH, RATE = 4, 32, 2.0
 REJECT = 0.0005
 UNKNOWN = "und"
@@ -100,20 +100,24 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def train(windows: list[str], targets: np.ndarray, languages: list[str], seed: int = 7) -> LanguageModel:
     """Stochastic gradient descent over the embeddings and the softmax at once."""
     rng = np.random.default_rng(seed)
-    ids = [np.concatenate(list(subword_ids(w))).astype(np.int64) for w in windows]
+    ids = [np.concatenate(list(subword_ids(w))).astype(np.uint16) for w in windows]
+    ends = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
+    every = np.concatenate(ids)
+    del ids
     table_ = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     weights = np.zeros((DIM, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, step = EPOCHS * -(-len(ids) // BATCH), 0
+    n = len(windows)
+    steps, step = EPOCHS * -(-n // BATCH), 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(ids))
+        order = rng.permutation(n)
         for at in range(0, len(order), BATCH):
             rate = RATE * (1 - step / steps)
             step += 1
             rows = order[at : at + BATCH]
-            flat = np.concatenate([ids[r] for r in rows])
-            lengths = np.array([max(1, len(ids[r])) for r in rows])
-            owner = np.repeat(np.arange(len(rows)), [len(ids[r]) for r in rows])
+            flat = np.concatenate([every[ends[r] : ends[r + 1]] for r in rows])
+            sizes = ends[rows + 1] - ends[rows]
+            lengths, owner = np.maximum(sizes, 1), np.repeat(np.arange(len(rows)), sizes)
             hidden = np.zeros((len(rows), DIM), np.float32)
             np.add.at(hidden, owner, table_[flat])
             hidden /= lengths[:, None]

@@ -162,11 +162,15 @@ def full_sets(rows: DataFrame, k: int) -> DataFrame:
 # ---- components
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``(node, label)``: the smallest node reachable over ``links(a, b)``, for every node in a link."""
+def components(links: DataFrame, turns: int | None = None) -> DataFrame:
+    """``(node, label)``: the smallest node reachable over ``links(a, b)``, for every node in a link.
+
+    After a given number of ``turns`` the labels may be unfinished: nodes with equal labels are connected, but not the reverse.
+    """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     edges, seen = materialize(edges, "edges"), None
-    while True:
+    while turns is None or turns > 0:
+        turns = turns if turns is None else turns - 1
         # large star: neighbours above u point to the smallest of u and its neighbours
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star")
@@ -176,12 +180,17 @@ def components(links: DataFrame) -> DataFrame:
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "star")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         edges = materialize(small.filter("u != v").distinct(), "edges")
+        if turns == 0:
+            break
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if state == seen:
             break
         seen = state
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+    return (
+        edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")))
+        .groupBy("node")
+        .agg(F.min("label").alias("label"))
     )
 
 
@@ -286,7 +295,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
         pairs = _star_pairs(labelled, turn) if turn < STAR_ROUNDS else _open_pairs(labelled, sets, least)
         found = materialize(_verified(pairs, sets, least), "near-links")
         links = found if links is None else links.unionByName(found)
-        labels = materialize(components(links), "near-labels")
+        # until the last round labels only save comparisons, and one turn is enough
+        labels = materialize(components(links, 1 if turn < STAR_ROUNDS else None), "near-labels")
 
     best = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     placed = classes.select("fp1", "fp2", "n_shingles", F.col("rep.uid").alias("node"), "best").join(best, "node")
