@@ -204,6 +204,9 @@ def _test(table: str, relation: str, test: str, column: str, failing: str) -> st
 def _not_null() -> str:
     columns = {
         ("preview", "dirty"): ("reportercode", "partnercode", "flowcode", "period"),
+        ("previewtariffline", "dirty"): ("reportercode", "period"),
+        ("getmbs", "dirty"): ("period",),
+        ("stg_mbs", "dirty"): ("period",),
         ("stg_preview", "staged"): ("reporter_code", "partner_code", "flow_code", "period"),
         ("trade_flows", "trade_flows"): (
             "period", "reporter_code", "partner_code", "flow_code", "trade_value_usd",

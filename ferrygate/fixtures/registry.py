@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from ..operators import coltests, drift, freshness, governance, maintenance, metrics, quality
 from ..operators.lineage import lineage_edges
 from ..operators.silver import (
+    as_trade_flows,
+    flows_exact,
     guard_of,
     incremental,
     reporter_summary,
+    summary_from_flows,
     trade_flows,
 )
 from ..operators.staging import granted_view, rejected_preview, stage_mbs, stage_preview
@@ -114,11 +117,15 @@ def column_tests(test: str) -> Query:
         # Four tables are built from the same records: they are joined together once.
         dirty = materialize(t.dirty_preview(spark, sf_dir), "dirty")
         rows = stage_preview(dirty, lenient=True)
+        exact = flows_exact(rows)
         frames = {
             "preview": dirty,
+            "previewtariffline": dirty,
+            "getmbs": dirty,
             "stg_preview": rows,
-            "trade_flows": trade_flows(rows),
-            "reporter_summary": reporter_summary(rows),
+            "stg_mbs": stage_mbs(t.as_series(dirty), lenient=True),
+            "trade_flows": as_trade_flows(exact),
+            "reporter_summary": summary_from_flows(exact),
         }
         parts = [
             coltests.run_column_tests(df, name, only=test)

@@ -117,7 +117,11 @@ def dirty_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_mbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as bulletin series."""
-    return bronze_preview(spark, sf_dir).select(
+    return as_series(bronze_preview(spark, sf_dir))
+
+
+def as_series(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "period",
         "freqcode",
         F.lit("T35").alias("seriestype"),
