@@ -39,6 +39,11 @@ _DIMS = """period, freqcode AS freq_code, typecode AS type_code, CAST(reporterco
     flowcode AS flow_code, flowdesc AS flow_name"""
 
 ZONES_SQL = {
+    "build_metrics": _with(_BRONZE)
+    + """ SELECT metric, unit, phase, CASE WHEN unit = 'Seconds' THEN 1.0::DOUBLE
+      ELSE CAST((SELECT count(*) FILTER (reportercode IS NULL OR period IS NULL OR primaryvalue < 0) FROM bronze) AS DOUBLE) END AS value
+    FROM (VALUES ('DbtRunDuration', 'Seconds'), ('DbtModelsErrored', 'Count'), ('DbtTestsFailed', 'Count')) AS m(metric, unit),
+      (VALUES ('freshness'), ('run'), ('test')) AS p(phase)""",
     "envelope_scan": _with(_LINES)
     + f""" SELECT 'preview' AS endpoint, run_id, 'C' AS type, 'A' AS freq, '2001' AS year, month,
       CASE WHEN {_is(z.CUT)} THEN NULL WHEN {_is(z.LIST)} THEN 'list' ELSE 'object' END AS kind,

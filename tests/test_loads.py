@@ -9,6 +9,7 @@ from ferrygate.operators.freshness import StaleSource
 from ferrygate.operators.lineage import lineage_edges
 from ferrygate.operators.upsert import read_silver
 from ferrygate.plans.loads import (
+    observed_build,
     BackfillError,
     backfill,
     build_silver,
@@ -227,3 +228,14 @@ def test_build_with_bulletin(spark, tmp_path):
     )
     append_bronze(mbs, f"{tmp_path}/bronze", "getMBS", NOW)
     build(spark, tmp_path, sources=("preview", "getMBS"))
+
+
+def test_a_failing_build_leaves_metrics_and_a_dead_letter(spark, tmp_path):
+    add(spark, tmp_path, "1", flow(partnerCode=None))
+    for _ in range(2):
+        with pytest.raises(Exception, match="partner"):
+            observed_build(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/state", "x", now=NOW)
+    points = {(r["dims"]["Phase"], r["metric"]): r["value"] for r in spark.read.parquet(f"{tmp_path}/state/metrics").collect()}
+    assert len(points) == 9 and points["test", "DbtTestsFailed"] >= 1 and points["run", "DbtModelsErrored"] == 0
+    letters = spark.read.json(f"{tmp_path}/state/errors").collect()
+    assert [(r["task_id"], r["exception_type"]) for r in letters] == [("test", "ColumnTestError")]
