@@ -30,8 +30,10 @@ def with_row_key(docs: DataFrame) -> DataFrame:
 
     The key does not depend on how a scan is split, so two jobs over the same files agree on it even
     if executors come and go between them. A frame that is not a plain file scan is written to the
-    shared scratch folder first.
+    shared scratch folder first. A frame that has keys already keeps them.
     """
+    if {FILE_KEY, ROW_KEY} <= set(docs.columns):
+        return docs
     try:
         return _keyed(docs)
     except AnalysisException:

@@ -47,6 +47,14 @@ def test_leaks_over_awkward_tables(spark):
     assert decontam.find_leaks(edge(spark), benchmark(spark)).count() == 0
 
 
+def test_stages_take_frames_that_are_no_file_scan(spark, tmp_path):
+    benchmark(spark, "no item that occurs anywhere in these texts").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["exact_copies"](spark, edge(spark), str(tmp_path)).count() == 8
+    assert stages["near_copies"](spark, edge(spark), str(tmp_path)).count() == N - 3
+    assert stages["benchmark_leaks"](spark, edge(spark), str(tmp_path)).count() == N
+
+
 @pytest.mark.parametrize("make", [edge, empty])
 def test_stages_keep_columns(spark, make, tmp_path):
     benchmark(spark, " ".join(f"wort{i}" for i in range(100, 140))).write.parquet(f"{tmp_path}/benchmark.parquet")
