@@ -8,8 +8,8 @@ at a similarity of exactly 0.8 with a chance of about 3e-6.
 Equal sets are one node (a class), so copies never multiply. Buckets with equal members are one bucket. Candidate pairs are
 not all pairs of a bucket: each round compares the members of a bucket with one representative, on full sets, and
 joins what is linked into components; only members that are still in different components go on. After ``STAR_ROUNDS`` rounds every
-pair of a bucket that is still in different components is compared, in blocks, within tasks and on sets that can only overstate an
-intersection; what passes is verified on full sets, so no link between components is lost. Components come from alternating large and small stars, each a join and an aggregate, written to the shared folder.
+pair of a bucket that is still in different components is compared on full sets, in blocks within tasks, so no link between components is
+lost. Components come from alternating large and small stars, each a join and an aggregate, written to the shared folder.
 
 Hot groups: all groupings have partial aggregates; joins are plain equi-joins between written tables, which
 Spark splits. Nothing per document, pair or component reaches the driver.
@@ -212,41 +212,48 @@ def _star_pairs(labelled: DataFrame, salt: int) -> DataFrame:
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
-def _open_pairs(labelled: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs of a bucket in different components that may be similar enough: a superset of the links that are left.
+def _open_links(labelled: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Links between members of a bucket that are still in different components, as few as join the components.
 
-    Members bring the low 32 bits of their shingles. Equal shingles have equal bits, so what these say of an intersection is
-    never too small, and only pairs that pass it are given out. A bucket of more than ``CELL`` members is cut into blocks, and every
-    pair of blocks is a group of its own.
+    Members bring their full sets. A bucket of more than ``CELL`` members is cut into blocks, and every pair of blocks is a
+    group of its own. All pairs of different components are compared there; of the links found, those that join
+    what is not yet joined within the group are given out.
     """
     ends = labelled.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"))
     ends = materialize(ends.filter("lo != hi").select("band", F.ceil(F.col("m") / CELL).cast("int").alias("blocks")), "open-buckets")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     still = labelled.join(ends, "band").select("band", "node", "label", "blocks", mine.alias("mine"))
-    short = sets.select("node", F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))).alias("short"))
-    cells = materialize(still, "open").join(short, "node").select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
+    cells = materialize(still, "open").join(sets, "node").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        node, label, mine = (cell[c].to_numpy() for c in ("node", "label", "mine"))
-        rows = [np.unique(np.asarray(x, np.int64).astype(np.uint32)) for x in cell["short"]]
+        node, mine = cell["node"].to_numpy(), cell["mine"].to_numpy()
+        values, label, counts = np.unique(cell["label"].to_numpy(), return_inverse=True, return_counts=True)
+        rows = [np.asarray(x, np.int64) for x in cell["shingles"]]
         length = np.array([len(r) for r in rows])
         flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), length)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
-        values, counts = np.unique(label, return_counts=True)
-        majority, across = values[counts.argmax()], mine.min() != mine.max()
-        out_a, out_b = [], []
-        for x in np.flatnonzero(label != majority):
+        parent, across = list(range(len(values))), mine.min() != mine.max()
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        links = []
+        for x in np.flatnonzero(label != counts.argmax()):
             at, to = np.searchsorted(flat, rows[x]), np.searchsorted(flat, rows[x], side="right")
-            reach = np.repeat(at, to - at) + np.arange((to - at).sum()) - np.repeat(np.cumsum(to - at) - (to - at), to - at)
+            reach = np.repeat(at - (np.cumsum(to - at) - (to - at)), to - at) + np.arange((to - at).sum())
             shared = np.bincount(owner[reach], minlength=len(rows))
             near = shared * least[1] >= (length[x] + length - shared) * least[0]
             near &= (label != label[x]) & ((mine != mine[x]) | (not across))
             for y in np.flatnonzero(near):
-                out_a.append(min(node[x], node[y])), out_b.append(max(node[x], node[y]))
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+                p, q = root(label[x]), root(label[y])
+                if p != q:
+                    parent[p] = q
+                    links.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     low, high = F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")
     return cells.groupBy("band", low, high).applyInPandas(compare, "a long, b long").distinct()
@@ -292,8 +299,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: tuple[int, int] = (80, 1
     links, labels = None, None
     for turn in range(STAR_ROUNDS + 1):
         labelled = _labelled(members, labels)
-        pairs = _star_pairs(labelled, turn) if turn < STAR_ROUNDS else _open_pairs(labelled, sets, least)
-        found = materialize(_verified(pairs, sets, least), "near-links")
+        if turn < STAR_ROUNDS:
+            found = _verified(_star_pairs(labelled, turn), sets, least)
+        else:
+            found = _open_links(labelled, sets, least)
+        found = materialize(found, "near-links")
         links = found if links is None else links.unionByName(found)
         # until the last round labels only save comparisons, and one turn is enough
         labels = materialize(components(links, 1 if turn < STAR_ROUNDS else None), "near-labels")
