@@ -335,6 +335,25 @@ def test_leaks_are_found_whole_edited_and_in_part(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == truth
 
 
+@pytest.mark.parametrize("n", [8, 12, 15, 16, 24, 32, 40, 64, 90])
+def test_every_share_that_confirms_is_a_candidate(spark, n):
+    rng, names = random.Random(n), [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "klmnprst"]
+    zipf = lambda k: rng.choices(names, [1 / (i + 3) for i in range(len(names))], k=k)
+    items = [zipf(n - 3) + [f"answer{j}{k}" for k in range(3)] for j in range(12)]
+    texts, truth = [" ".join(zipf(400)) for _ in range(30)], set()
+    for share in (0.5, 0.6, 0.7):
+        for j, item in enumerate(items):
+            form = list(item)
+            for at in rng.sample(range(n - 3), n - int(np.ceil(share * n))):
+                form[at] = f"new{rng.randrange(10**6)}"
+            truth.add((len(texts), j))
+            texts.append(" ".join(zipf(100 + j) + form + zipf(100)))
+    written = [" ".join(i[:-3]) + ". " + " ".join(i[-3:]) + "." for i in items]
+    found = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(frame(spark, texts), benchmark(spark, *written)).collect()}
+    assert truth <= found, sorted(truth - found)
+    assert all(doc >= 30 for doc, _ in found)
+
+
 def test_subsequence_equals_the_table():
     rng = random.Random(5)
     for _ in range(200):
