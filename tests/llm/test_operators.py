@@ -354,6 +354,19 @@ def test_every_share_that_confirms_is_a_candidate(spark, n):
     assert all(doc >= 30 for doc, _ in found)
 
 
+def test_long_items_keep_their_rank(spark, monkeypatch):
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(6000)]
+    items = [" ".join(rng.choices(words, k=200)) for _ in range(80)]
+    texts = [" ".join(rng.choices(words, k=96) + item.split()[32:64] + rng.choices(words, k=100)) for item in items]
+    found = decontam.find_leaks(frame(spark, texts), benchmark(spark, *items)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, i) for i in range(80)]
+    assert min(r["cosine"] for r in found) > 0.99
+    monkeypatch.setattr(decontam, "RANK", 5)  # each item is searched in three blocks
+    found = decontam.find_leaks(frame(spark, [items[0], texts[1]]), benchmark(spark, *items[:2])).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (1, 1)]
+
+
 def test_subsequence_equals_the_table():
     rng = random.Random(5)
     for _ in range(200):
