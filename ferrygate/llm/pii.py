@@ -5,7 +5,7 @@ protected entity. Terms (runs of letters) within ``WINDOW`` words of it are its
 term ``t`` discloses an entity ``c`` by the pointwise mutual information ``log2(P(c, t) / (P(c) P(t)))``, where the probabilities
 are shares of documents. The most a term can disclose is the entity's information content ``-log2 P(c)``. A term that discloses at
 least ``DISCLOSURE`` of it, seen with the entity in at least ``SUPPORT`` distinct texts, stands for the entity and is marked as a
-``term`` span next to it; ``sanitise`` removes base spans and generalises terms to their shape.
+``term`` span wherever it occurs, in every text, also where the entity itself is not printed; ``sanitise`` removes base spans and generalises terms to their shape.
 
 Counts cover all documents. What is counted per term is combined within tasks and before every shuffle; pairs are limited by the contexts of
 entities, not by pairs of words. An entity that a third of the documents mention is a grouping key with partial
@@ -194,20 +194,43 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
+def term_places(keyed: DataFrame) -> DataFrame:
+    """Per row and term: all its places in the whole text outside base spans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, file_key, row_key in zip(*(c.to_pylist() for c in batch.columns)):
+                text = text or ""
+                spans = base_spans(text)
+                places: dict[str, list[dict[str, int]]] = {}
+                for m in _TERM.finditer(_masked(text, spans) if spans else text):
+                    places.setdefault(m.group().lower(), []).append({"start": m.start(), "end": m.end()})
+                if places:
+                    n = len(places)
+                    columns = [[file_key] * n, [row_key] * n, list(places), list(places.values())]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PLACE_TYPES)], names=_PLACE_NAMES)
+
+    schema = f"{FILE_KEY} long, {ROW_KEY} long, term string, places array<struct<start:int,end:int>>"
+    return keyed.select("text", FILE_KEY, ROW_KEY).mapInArrow(run, schema)
+
+
+_PLACE_NAMES = [FILE_KEY, ROW_KEY, "term", "places"]
+_PLACE_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
+
+
 def protect(docs: DataFrame) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: base counts and spans, and the spans of disclosing terms."""
     keyed = with_row_key(docs)
     found = materialize(detect(keyed), "pii-found")
-    flagged = disclosing_terms(found, docs)
-    occurrences = found.select(FILE_KEY, ROW_KEY, F.explode("contexts").alias("c")).select(
-        F.col(FILE_KEY), F.col(ROW_KEY), "c.entity", "c.term", "c.start", "c.end"
-    )
+    flagged = materialize(disclosing_terms(found, docs).select("term").distinct(), "pii-flagged")
+    # without a flagged term the texts need not be read again
+    places = keyed.limit(0) if flagged.isEmpty() else keyed
     added = (
-        occurrences.join(flagged.select("entity", "term"), ["entity", "term"], "left_semi")
-        .select(FILE_KEY, ROW_KEY, "start", "end")
-        .distinct()
+        term_places(places)
+        .join(flagged, "term", "left_semi")
+        .select(FILE_KEY, ROW_KEY, F.explode("places").alias("place"))
         .groupBy(FILE_KEY, ROW_KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+        .agg(F.array_sort(F.collect_list("place")).alias("terms"))
     )
     added = materialize(added, "pii-terms")
     term_text = F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string")))

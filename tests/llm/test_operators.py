@@ -260,6 +260,16 @@ def test_disclosing_terms_are_found_and_generalised(spark):
     assert all(r["spans"] == "" for r in found[:40])
 
 
+def test_disclosing_terms_are_marked_wherever_they_occur(spark):
+    filler = [f"plain words number{i} stand here and there" for i in range(40)]
+    leaking = [f"line{i} wizzle mail to wizzle@example.org and so on" for i in range(5)]
+    far = ["Wizzle has an entry without any address", leaking[0] + " one two three four five six seven then wizzle again"]
+    found = pii.protect(frame(spark, filler + leaking + far)).orderBy("doc_id").collect()
+    for row, text in zip(found[45:], far):
+        assert "wizzle" not in pii.sanitise(text, row["spans"]).lower()
+    assert found[45]["base"] == "" and found[45]["spans"] == "term:0:6"
+
+
 # ---- mixing, exact copies, decontamination
 
 
