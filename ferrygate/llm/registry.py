@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, exact, langid, mixing, neardup, pii, secrets, tokens, toxicity, warc
+from . import decontam, exact, langid, mixing, neardup, pii, repair, secrets, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_personal_data": pii.op9_personal_data,
     "op10_exact_dedup": exact.op10_exact_dedup,
+    "op11_conversation_repair": repair.op11_conversation_repair,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op6_secrets": secrets.OP6_SQL,
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
+    "op11_conversation_repair": repair.OP11_SQL,
 }
