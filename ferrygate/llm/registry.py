@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, exact, langid, mixing, neardup, pii, repair, secrets, tokens, toxicity, warc
+from . import decontam, exact, langid, mixing, neardup, pii, repair, secrets, tokenids, tokens, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_personal_data": pii.op9_personal_data,
     "op10_exact_dedup": exact.op10_exact_dedup,
     "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_token_ids": tokenids.op12_token_ids,
 }
 
 ORACLES = {
