@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -44,3 +45,27 @@ def batches_of(rows: Iterable[tuple], schema: pa.Schema, size=lambda row: 64) ->
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def digest_of_pieces(pieces: DataFrame, key: str, order: list[str], text: str, separator: str) -> DataFrame:
+    """``(key, digest)``: SHA-256 of the texts of a key in order, joined; nulls add nothing. Streams, so a long key needs no memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(key, pa.string()), ("digest", pa.string())])
+
+        def walk() -> Iterator[tuple]:
+            current, found, begun = None, hashlib.sha256(), False
+            for row in rows_of(batches):
+                if row[0] != current:
+                    if current is not None:
+                        yield current, found.hexdigest()
+                    current, found, begun = row[0], hashlib.sha256(), False
+                if row[-1] is not None:
+                    found.update(((separator if begun else "") + row[-1]).encode("utf-8", "replace"))
+                    begun = True
+            if current is not None:
+                yield current, found.hexdigest()
+
+        yield from batches_of(walk(), schema)
+
+    return by_key(pieces.select(key, *order, text), key, *order).mapInArrow(run, f"{key} string, digest string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, exact, langid, mixing, neardup, pii, repair, secrets, tokenids, tokens, toxicity, warc
+from . import decontam, exact, langid, mixing, neardup, pii, repair, secrets, tokenids, tokens, toxicity, trie, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_exact_dedup": exact.op10_exact_dedup,
     "op11_conversation_repair": repair.op11_conversation_repair,
     "op12_token_ids": tokenids.op12_token_ids,
+    "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op7_mixing": mixing.OP7_SQL,
     "op10_exact_dedup": exact.OP10_SQL,
     "op11_conversation_repair": repair.OP11_SQL,
+    "op13_prefix_trie": trie.OP13_SQL,
 }

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import SPACE, table
-from .ordered import batches_of, by_key, in_ranges, rows_of
+from .ordered import batches_of, by_key, digest_of_pieces, in_ranges, rows_of
 from .sql import crc32
 
 #: Rules of the role grammar; small letters are initials of roles.
@@ -430,31 +430,6 @@ def repaired(pieces: DataFrame, chosen: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "conv string, part int, segment int, lines string")
 
 
-def digest_of_pieces(pieces: DataFrame, key: str, order: list[str], text: str, separator: str) -> DataFrame:
-    """``(key, digest)``: SHA-256 of the texts of a key in order, joined; nulls add nothing. Streams, so a long key needs no memory."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(batch_key, pa.string()), ("digest", pa.string())])
-
-        def walk() -> Iterator[tuple]:
-            current, found, begun = None, hashlib.sha256(), False
-            for row in rows_of(batches):
-                if row[0] != current:
-                    if current is not None:
-                        yield current, found.hexdigest()
-                    current, found, begun = row[0], hashlib.sha256(), False
-                if row[-1] is not None:
-                    found.update(((separator if begun else "") + row[-1]).encode("utf-8", "replace"))
-                    begun = True
-            if current is not None:
-                yield current, found.hexdigest()
-
-        yield from batches_of(walk(), schema)
-
-    batch_key = key
-    return by_key(pieces.select(key, *order, text), key, *order).mapInArrow(run, f"{key} string, digest string")
-
-
 def repair(conversations: DataFrame, damage: Callable[[DataFrame], DataFrame] | None = None, segment_rows: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
     """``(lines, report)``: the repaired lines of all segments, and per conversation its faults, cost, audit and digest.
 
