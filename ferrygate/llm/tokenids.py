@@ -16,7 +16,7 @@ names of its own, Spark keeps the manifest rows of the attempts that succeeded,
 
 Encoding remembers what it has seen. A text is cut before each space that follows no white space, where byte-level splitting never
 reaches across; a piece seen before is a dictionary read, a new one is split as the vocabulary's own rule has it and only its
-unknown pre-tokens go through the vocabulary's merges. Texts of vocabularies with another rule are encoded whole.
+unknown pre-tokens go through the vocabulary's merges. Texts with special strings, and texts of vocabularies with another rule, are encoded whole.
 
 Defined cases: a null text is empty and has the end id alone; rows with a null id come first and are reached by the key
 ``None``; documents with equal ids lie side by side in the order of their texts' hashes, and the key names them all; an empty
@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,8 @@ from .warc import file_system
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 FILE_BYTES = 64 << 20
-#: Pieces and pre-tokens whose ids a task remembers at a time.
-REMEMBERED = 500_000
+#: Pieces whose ids a worker remembers, at most twice as many between clearings; of pre-tokens twice that.
+REMEMBERED = 200_000
 MAGIC = b"IDXIDS01"
 HEADER = ["width", "docs", "ids", "keys", "nulls", "levels", "bits", "reserved"]
 
@@ -78,6 +80,25 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
+class Remembered:
+    """A map of bounded size: when it is full its older half goes, and what is read from that half meanwhile stays."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.old = most, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.now.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> bytes:
+        if len(self.now) >= self.most:
+            self.now, self.old = {}, self.now
+        self.now[key] = value
+        return value
+
+
 class Encoder:
     """Ids of texts as packed bytes, equal to the library's over whole texts."""
 
@@ -87,10 +108,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.remembered = remembered
-        self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.pieces, self.parts = Remembered(remembered), Remembered(2 * remembered)
+        #: What each id looks like in a payload.
+        self.packed = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.letters = _byte_letters()
+        self.space = chr(self.letters[0x20])
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_pieces = (
             isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
@@ -99,43 +121,58 @@ class Encoder:
             and not any(" " in t for t in self.special)
         )
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+    def _packed(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.packed.__getitem__, ids))
 
     def _whole(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str) -> bytes:
-        written = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(written)])
+        """Ids of one pre-token."""
+        found = self.parts.get(part)
+        if found is None:
+            if part.isascii() and part[1:].isalnum() and (part[0] == " " or part[0].isalnum()):
+                written = self.space + part[1:] if part[0] == " " else part
+            else:
+                written = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+            found = self.parts.put(part, self._packed([t.id for t in self.tokenizer.model.tokenize(written)]))
+        return found
 
     def piece(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or any(t in text for t in self.special):
+        if not (text.isascii() or _PLAIN.fullmatch(text)):
             return self._whole(text)
-        parts, out = self.parts, []
-        for part in (text,) if text.isalpha() else _SPLIT.findall(text):
-            found = parts.get(part)
-            if found is None:
-                if len(parts) >= self.remembered:
-                    parts.clear()
-                found = parts[part] = self._part(part)
-            out.append(found)
-        return out[0] if len(out) == 1 else b"".join(out)
+        parts = _SPLIT.findall(text)
+        return self._part(parts[0]) if len(parts) == 1 else b"".join(map(self._part, parts))
+
+    def _word(self, word: str) -> bytes:
+        """``piece(" " + word)``, without the split for plain words and plain words before one sign."""
+        if word.isascii():
+            if word.isalpha():
+                return self._part(" " + word)
+            if word[:-1].isalpha() and not word[-1].isalnum() and word[-1] > " ":
+                return self._part(" " + word[:-1]) + self._part(word[-1])
+        return self.piece(" " + word)
 
     def encode(self, text: str) -> bytes:
-        if not self.by_pieces:
+        if not self.by_pieces or any(t in text for t in self.special):
             return self._whole(text)
         first, *rest = _CUT.split(text) if _AFTER_BLANK.search(text) else text.split(" ")
-        known = self.pieces
-        if len(known) > self.remembered:
-            known.clear()
-        out = [self.piece(first)] if first else []
-        for word in rest:
-            found = known.get(word)
-            if found is None:
-                found = known[word] = self.piece(" " + word)
-            out.append(found)
-        return b"".join(out)
+        out = list(map(self.pieces.now.get, rest))
+        if None in out:
+            get, put = self.pieces.get, self.pieces.put
+            for i, word in enumerate(rest):
+                if out[i] is None:
+                    found = get(word)
+                    out[i] = put(word, self._word(word)) if found is None else found
+        return (self.piece(first) if first else b"") + b"".join(out)
+
+
+def worker_encoder(tokenizer_path: str) -> Encoder:
+    """The encoder of this Python worker: it stays between tasks, so what one has learnt serves the next."""
+    held = sys.modules.setdefault("_worker_encoders", types.ModuleType("_worker_encoders")).__dict__
+    if tokenizer_path not in held:
+        held[tokenizer_path] = Encoder(tokenizer_path)
+    return held[tokenizer_path]
 
 
 # ---- index
@@ -214,7 +251,7 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         files, target = file_system(folder)
         part, attempt = TaskContext.get().partitionId(), f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
         files.create_dir(f"{target}/_temporary", recursive=True)
@@ -306,8 +343,8 @@ def _open(files, target: str, name: str) -> Index:
         return Index(stream.read())
 
 
-READ = pa.schema([("name", pa.string()), ("doc_id", pa.int64()), ("doc", pa.int64()), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-READ_DDL = "name string, doc_id long, doc long, begin long, n_tokens long, ids_crc32 long"
+READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _crc(raw: bytes, width: int) -> int:
@@ -321,7 +358,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         files, target = file_system(folder)
 
         def walk() -> Iterator[tuple]:
-            for name, sha256 in rows_of(batches):
+            for name, sha256, before in rows_of(batches):
                 index = _open(files, target, name)
                 with files.open_input_stream(f"{target}/{name}.bin", compression=None) as stream:
                     payload = stream.read()
@@ -336,15 +373,14 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 for key, at, n in [*found, *zip(distinct.tolist(), first.tolist(), count.tolist())]:
                     for doc in range(at, at + n):
                         begin, end = index.span(doc)
-                        yield name, key, doc, begin, end - begin, _crc(payload[begin * width : end * width], width)
+                        yield key, before + begin, end - begin, _crc(payload[begin * width : end * width], width)
 
         yield from batches_of(walk(), READ)
 
-    listed = manifest(spark, folder)
-    # one row per file
-    before = listed.select("name", (F.sum("ids").over(Window.orderBy("part", "number")) - F.col("ids")).alias("before"))
-    read = listed.select("name", "sha256").repartition(4 * spark.sparkContext.defaultParallelism, "name").mapInArrow(run, READ_DDL)
-    return read.join(before, "name").select("doc_id", (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
+    # a window over one row per file
+    before = (F.sum("ids").over(Window.orderBy("part", "number")) - F.col("ids")).alias("before")
+    listed = manifest(spark, folder).select("name", "sha256", before)
+    return listed.repartition(4 * spark.sparkContext.defaultParallelism, "name").mapInArrow(run, READ_DDL)
 
 
 def fetch(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
