@@ -50,8 +50,8 @@ from .warc import file_system
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 FILE_BYTES = 64 << 20
-#: Pieces whose ids a worker remembers, at most twice as many between clearings; of pre-tokens twice that.
-REMEMBERED = 200_000
+#: Pieces, and pre-tokens, whose ids a worker remembers: at most twice as many, the older half goes.
+REMEMBERED = 400_000
 MAGIC = b"IDXIDS01"
 HEADER = ["width", "docs", "ids", "keys", "nulls", "levels", "bits", "reserved"]
 
@@ -108,7 +108,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.pieces, self.parts = Remembered(remembered), Remembered(2 * remembered)
+        self.pieces, self.parts = Remembered(remembered), Remembered(remembered)
         #: What each id looks like in a payload.
         self.packed = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.letters = _byte_letters()
