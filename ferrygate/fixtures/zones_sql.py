@@ -24,15 +24,6 @@ def _is(kind: int) -> str:
 
 _CHECKS = ("no_nulls", "numeric_non_negative", "period_format", "no_duplicates")
 
-# An amount in whole units, millionths and the rest, as ``functions.numeric`` splits it.
-_SPLIT = """
-split AS (
-  SELECT *, CASE WHEN abs(v) < 1e12::DOUBLE THEN trunc(v) END AS units FROM valued),
-parts AS (
-  SELECT *, round_even((v - units) * 1e6::DOUBLE, 0) AS micros FROM split),
-rests AS (
-  SELECT *, CASE WHEN abs((v - units) - micros * 1e-6::DOUBLE) > abs(v) * pow(2.0::DOUBLE, -51)
-    THEN round_even(((v - units) - micros * 1e-6::DOUBLE) * 1e15::DOUBLE, 0) ELSE 0 END AS rest FROM parts)"""
 _DIMS = """period, freqcode AS freq_code, typecode AS type_code, CAST(reportercode AS INTEGER) AS reporter_code,
     reporteriso AS reporter_iso, reporterdesc AS reporter_name, CAST(partnercode AS INTEGER) AS partner_code,
     partneriso AS partner_iso, partnerdesc AS partner_name, cmdcode AS commodity_code, cmddesc AS commodity_name,
@@ -58,13 +49,20 @@ ZONES_SQL = {
     + f""" SELECT run_id, period, "reporterCode", "partnerCode", "cmdCode", quantity AS value FROM lines WHERE {_READ}""",
     "flat_parquet": _with(_LINES)
     + f""" SELECT run_id, "cmdCode", quantity, 'kg' AS unit FROM lines WHERE {_READ}""",
-    "structural_checks": _with(_LINES)
+    "structural_checks": _with(
+        _LINES,
+        """
+keys AS (
+  SELECT run_id, count(*) - 1 AS more FROM lines GROUP BY run_id, "reporterCode", "partnerCode", "cmdCode", period),
+repeats AS (SELECT run_id, sum(more) AS repeated FROM keys GROUP BY run_id)""",
+    )
     + f""" SELECT 'preview' AS endpoint, run_id, 'check_envelope' AS name, NOT {_is(z.CUT)} AS passed, 'error' AS severity
       FROM blocks
     UNION ALL SELECT 'preview', run_id, 'check_has_data_key', {_READ}, 'error' FROM blocks
     UNION ALL SELECT 'preview', run_id, 'check_row_count', {_READ}, 'error' FROM blocks
-    UNION ALL SELECT 'preview', run_id, concat('check_', name), true, CASE WHEN name IN ('no_duplicates', 'numeric_non_negative') THEN 'warning' ELSE 'error' END
-      FROM blocks, unnest({list(_CHECKS)}) AS c(name) WHERE {_READ}""",
+    UNION ALL SELECT 'preview', run_id, concat('check_', name), name <> 'no_duplicates' OR repeated = 0,
+        CASE WHEN name IN ('no_duplicates', 'numeric_non_negative') THEN 'warning' ELSE 'error' END
+      FROM blocks JOIN repeats USING (run_id), unnest({list(_CHECKS)}) AS c(name) WHERE {_READ}""",
     "bronze_evolution": _with(_BRONZE)
     + """ SELECT period, CASE WHEN l_orderkey % 2 = 0 THEN 'a' ELSE 'b' END AS load_id, count(*) AS n,
       count(*) FILTER (l_orderkey % 2 = 0) AS with_flowdesc, count(*) FILTER (l_orderkey % 2 = 1) AS with_netweight
@@ -89,14 +87,11 @@ ZONES_SQL = {
         _BRONZE,
         f"""valued AS (
   SELECT {_DIMS}, CASE WHEN l_orderkey % 1009 = 0 THEN 'inf'::DOUBLE WHEN l_orderkey % 5 = 1 THEN primaryvalue * 1e-12::DOUBLE
-    WHEN l_orderkey % 5 = 2 THEN floor(primaryvalue) * pow(2.0::DOUBLE, 50) ELSE primaryvalue END AS v
+    WHEN l_orderkey % 5 = 2 THEN floor(primaryvalue) * pow(2.0::DOUBLE, 50) WHEN l_orderkey % 5 = 3 THEN primaryvalue * 1e-22::DOUBLE
+    ELSE primaryvalue END AS v
   FROM bronze)""",
-        _SPLIT,
     )
-    + """ SELECT * EXCLUDE (v, units, micros, rest),
-      CAST(coalesce(sum(units)::DECIMAL(26,6), 0) + coalesce(sum(micros)::DECIMAL(19,0), 0) * 0.000001::DECIMAL(7,6) AS DOUBLE)
-        + coalesce(sum(rest), 0)::DOUBLE * 1e-15::DOUBLE + coalesce(sum(CASE WHEN units IS NULL THEN v END), 0.0::DOUBLE)
-        AS trade_value_usd,
+    + """ SELECT * EXCLUDE (v), CASE WHEN max(v) = 'inf'::DOUBLE THEN 'infinite' ELSE printf('%.11e', fsum(v)) END AS trade_value_usd,
       count(*) AS source_record_count
-    FROM rests WHERE v >= 0 GROUP BY ALL""",
+    FROM valued WHERE v >= 0 GROUP BY ALL""",
 }

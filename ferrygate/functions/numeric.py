@@ -13,30 +13,48 @@ MICROS = Decimal("0.000001")
 LARGE = 1e12
 #: A difference from six decimals of less than so many times the amount is how doubles write those decimals.
 NOISE = 2.0**-51
+#: Whole units are added in blocks of this many and a remainder, so no count of rows that fits a table overflows a sum.
+BLOCK_BITS = 24
+#: What is left below millionths is added in units of 2^-48 and 2^-76, both under 2^28 for a single amount.
+FINE, FINER = 2.0**-48, 2.0**-76
 
+#: Names of the parts of an amount, in the order of :func:`sum_parts`.
+PARTS = ("_blocks", "_units", "_micros", "_fine", "_finer", "_other")
 
-def sum_parts(value: Column) -> tuple[Column, Column, Column, Column]:
-    """An amount as whole units, millionths, the rest in 1e-15 units, and, where it is large, as a double."""
+
+def sum_parts(value: Column) -> tuple[Column, ...]:
+    """An amount as integers whose sums are exact, and a double beside them; see ``PARTS``.
+
+    The double holds amounts of ``LARGE`` or more, and otherwise what lies below 2^-77. That is nothing for
+    amounts of 1e-7 and more, and less than 2^-24 of amounts down to 1e-16.
+    """
     normal = F.abs(value) < F.lit(LARGE)
-    units = F.when(normal, value.try_cast("bigint"))
-    fraction = value - units.cast("double")
+    whole = F.when(normal, value.try_cast("bigint"))
+    fraction = value - whole.cast("double")
     micros = F.rint(fraction * F.lit(1e6))
     rest = fraction - micros * F.lit(1e-6)
     rest = F.when(F.abs(rest) > F.abs(value) * F.lit(NOISE), rest).otherwise(F.lit(0.0))
-    return units, micros.cast("bigint"), F.rint(rest * F.lit(1e15)).cast("bigint"), F.when(~normal, value)
-
-
-def money(units: Column, micros: Column) -> Column:
-    """Summed whole and millionth parts as one exact decimal."""
-    return units.cast("decimal(26,6)") + micros.cast("decimal(19,0)") * F.lit(MICROS)
-
-
-def total(units: Column, micros: Column, rest: Column, large: Column) -> Column:
+    fine = F.rint(rest * F.lit(1 / FINE))
+    below = rest - fine * F.lit(FINE)
+    finer = F.rint(below * F.lit(1 / FINER))
+    integers = (fine, finer)
+    return (
+        F.shiftright(whole, BLOCK_BITS),
+        whole.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)),
+        micros.cast("bigint"),
+        *(F.when(normal, part.cast("bigint")) for part in integers),
+        F.when(normal, below - finer * F.lit(FINER)).otherwise(value),
+    )
+
+
+def total(blocks: Column, units: Column, micros: Column, fine: Column, finer: Column, other: Column) -> Column:
     """Summed parts as one double; null where there was nothing to sum."""
     zero = F.lit(0)
-    exact = money(F.coalesce(units, zero), F.coalesce(micros, zero)).cast("double")
-    summed = exact + F.coalesce(rest, zero).cast("double") * F.lit(1e-15) + F.coalesce(large, F.lit(0.0))
-    return F.when(units.isNotNull() | large.isNotNull(), summed)
+    number = lambda part: F.coalesce(part, zero).cast("decimal(20,0)")
+    exact = number(blocks) * F.lit(Decimal(1 << BLOCK_BITS)) + number(units) + number(micros) * F.lit(MICROS)
+    small = [F.coalesce(part, zero).cast("double") * F.lit(unit) for part, unit in ((fine, FINE), (finer, FINER))]
+    summed = exact.cast("double") + (small[0] + (small[1] + F.coalesce(other, F.lit(0.0))))
+    return F.when(units.isNotNull() | other.isNotNull(), summed)
 
 
 def exact_sum(value: Column) -> Column:
@@ -45,7 +63,7 @@ def exact_sum(value: Column) -> Column:
     Adding doubles depends on the order rows arrive in, so a retried task could change the last
     digits. The parts of each amount are added as integers instead, which stays in generated
     code with primitive buffers; decimals in the buffer would cost an object per row. Only amounts
-    of ``LARGE`` or more, and infinities, are added as doubles beside them.
+    of ``LARGE`` or more, infinities, and what lies below 2^-77 are added as doubles beside them.
     """
     return total(*(F.sum(part) for part in sum_parts(value)))
 

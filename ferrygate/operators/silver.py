@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import sum_parts, total
+from ..functions.numeric import PARTS, sum_parts, total
 from ..schemas import REPORTER_SUMMARY, TRADE_FLOWS
 from .staging import valid_measures
 
@@ -15,7 +15,6 @@ FLOW_DIMENSIONS = tuple(TRADE_FLOWS.names[:13])
 REPORTER_DIMENSIONS = tuple(REPORTER_SUMMARY.names[:5])
 
 EARLIEST = "0000"
-PARTS = ("_units", "_micros", "_rest", "_large")
 
 
 def flows_exact(staged: DataFrame) -> DataFrame:

@@ -22,3 +22,9 @@ def test_every_statement_has_a_query():
 def test_query_equals_its_statement(spark, con, name):
     ok, text = compare(spark, con, name, SF)
     assert ok, text
+
+
+def test_structural_checks_where_keys_repeat(spark):
+    larger = SF.replace("0.001", "0.01")
+    ok, text = compare(spark, connect(larger), "structural_checks", larger)
+    assert ok, text

@@ -6,6 +6,8 @@ import math
 from pathlib import Path
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from conftest import as_dicts, flow, frame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,29 @@ def summed(spark, values):
 def test_sums_of_very_small_and_very_large_amounts(spark):
     assert summed(spark, [4e-7] * 1000) == pytest.approx(4e-4, rel=1e-12)
     assert summed(spark, [0.1] * 10) == 1.0
+    assert summed(spark, [4e-16] * 1000) == pytest.approx(4e-13, rel=1e-14)
+    assert summed(spark, [1e-18] * 1000) == pytest.approx(1e-15, rel=1e-14)
+    assert summed(spark, [3.14159265e-10]) == 3.14159265e-10
+    assert summed(spark, [2.5e-40, 2.5e-40]) == 5e-40
+    assert summed(spark, [1.0, 1e-14]) == pytest.approx(math.fsum([1.0, 1e-14]), rel=1e-15)
     assert summed(spark, [1e19, 5.0, None]) == 1e19 + 5
     assert summed(spark, [math.inf, 1.0]) == math.inf
     assert summed(spark, [-2.5, 2.25, -0.0]) == -0.25
     assert summed(spark, [None]) is None
 
 
+def test_sums_above_the_largest_integer(spark):
+    many = spark.range(12_000_000).select(F.lit(9e11).alias("v"))
+    assert many.agg(exact_sum(F.col("v")).alias("s")).first()["s"] == 12e6 * 9e11
+    assert many.agg(exact_sum(-F.col("v")).alias("s")).first()["s"] == -12e6 * 9e11
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, min_value=-1e14, max_value=1e14), min_size=1, max_size=30))
+def test_sums_equal_exact_ones(spark, values):
+    assert summed(spark, values) == pytest.approx(math.fsum(values), rel=1e-12, abs=max(map(abs, values)) * 1e-14)
+
+
 def test_a_narrower_backfill_keeps_a_wider_one(spark, root):
     rows = frame(spark, [flow(period="2020", reporterCode=str(c)) for c in (1, 2, 3)])
     for more in ({}, {"reporter_code": "3"}, {"reporter_code": "3"}):
