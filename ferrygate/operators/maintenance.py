@@ -20,13 +20,12 @@ from ..sources.bronze import (
     table_path,
 )
 from ..sources.deadletter import LOAD, PARTITIONS, scan_manifests
-from ..sources.layout import decoded
+from ..sources.layout import NULL_FOLDER, decoded, partition_folder
 
 log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 FILES_PER_JOB = 10_000
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 FOLDERS = (*PARTITIONS, LOAD)
 
@@ -110,7 +109,7 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
             .parquet(path)
         )
         for row in old:
-            remove_folder(spark, f"{path.rstrip('/')}/{_folder(spark, row, (*keys, LOAD_ID))}")
+            remove_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, row, (*keys, LOAD_ID))}")
     return sorted(leaves)
 
 
@@ -124,14 +123,6 @@ def _merged(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list]:
     return both, loads.select(*keys, LOAD_ID).distinct().collect()
 
 
-def _folder(spark: SparkSession, row, names) -> str:
-    """Relative folder of a partition."""
-    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return "/".join(
-        f"{n}={NULL_FOLDER if row[n] is None else escape.escapePathName(row[n])}" for n in names
-    )
-
-
 def maintain(
     spark: SparkSession, root: str, tables: list[str], target_bytes: int = TARGET_FILE_BYTES
 ) -> dict[str, list[str]]:
@@ -188,5 +179,5 @@ def apply_retention(
         )
     for row in per_folder:
         if row["gone"] == row["n"]:
-            remove_folder(spark, f"{path.rstrip('/')}/{_folder(spark, row, FOLDERS)}")
+            remove_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, row, FOLDERS)}")
     return sum(row["gone"] for row in per_folder)
