@@ -2,13 +2,15 @@
 
 State below ``<root>``, written per load and never updated in place:
 
-* ``sums``: per period, load, reporter and flow the exact parts of the value (see ``functions.numeric``) as integers.
-* ``sets``: per period, load and reporter the distinct commodities and partners as bitmaps, one row per bucket of 32,768 numbers.
+* ``sums``: per load, period, reporter and flow the exact parts of the value (see ``functions.numeric``) as integers.
+* ``sets``: per load, period and reporter the distinct commodities and partners as bitmaps, one row per bucket of 32,768 numbers.
 * ``codes``: the number of every commodity code ever seen. Partner codes are numbers already.
+* ``pending``: the periods of a load that is being taken in, until their summary is written.
 
-A load writes its own ``load_id`` folders by dynamic overwrite, so repeating it replaces its state, also in periods that
-it no longer has. The summary of the touched periods is then the merge of their states: sums add up, bitmaps are joined by or, and both
-are exact in any order. The state of a period is as large as its reporters times its loads, however many rows these had.
+A load has one folder, replaced as a whole when it comes again, so nothing stays of periods that it no longer has. Its rows are
+ordered by period: a read of some periods skips row groups by their statistics. The summary of the touched periods is then the merge
+of their states: sums add up, bitmaps are joined by or, and both are exact in any order. The state of a period is as
+large as its reporters times its loads, however many rows these had.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ SUMS = StructType([*_DIMS, StructField("flow", StringType()), *_PARTS, *_LOAD])
 BITMAPS = StructType(
     [*_DIMS, StructField("what", StringType()), StructField("bucket", LongType()), StructField("bits", BinaryType()), *_LOAD]
 )
+PENDING = StructType([StructField("period", StringType()), *_LOAD])
 CODES = StructType([StructField("code", StringType()), StructField("number", LongType())])
 #: Numbers given out by one task stand apart from those of the next.
 TASK_BITS = 33
@@ -50,9 +53,10 @@ def _table(spark: SparkSession, root: str, name: str, schema: StructType) -> Dat
 def _replace(rows: DataFrame, path: str) -> None:
     (
         rows.hint("rebalance", "period")
+        .sortWithinPartitions("period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period", LOAD_ID)
+        .partitionBy(LOAD_ID)
         .parquet(path)
     )
 
@@ -135,48 +139,56 @@ def summary_of(sums: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _in(periods: list[str | None]) -> Column:
-    inside = F.coalesce(F.col("period").isin(*[p for p in periods if p is not None]), F.lit(False))
-    return inside | F.col("period").isNull() if None in periods else F.col("period").isin(*periods)
+    inside = F.col("period").isin(*[p for p in periods if p is not None])
+    return inside | F.col("period").isNull() if None in periods else inside
 
 
 def update_summary(staged: DataFrame, state_root: str, summary_path: str, load_id: str) -> list[str | None]:
     """Take the staged rows of one load into the state and renew the summary of the periods they touch.
 
     Reads the rows of the load, the codes, and the state of the touched periods; earlier rows are not needed any more.
-    Returns the touched periods: those of the load, and those it had before if it is repeated. State that a repeated load leaves
-    behind goes last, so a call that was cut short can be repeated.
+    Returns the touched periods: those of the load, and those it had before if it is repeated. A call that was cut short
+    can be repeated: the periods it had in hand are noted before anything is replaced.
     """
     spark = staged.sparkSession
     load = spark.range(1).select(load_folder(load_id)).first()[0]
     narrow = [*REPORTER_DIMENSIONS, "flow_code", "commodity_code", "partner_code", "trade_value_usd"]
     rows = materialize(staged.select(*narrow), "load-rows")  # read for its codes, sums and sets
+    sums = materialize(load_sums(rows), "load-sums")
     numbers = number_codes(spark, state_root, rows.select(F.col("commodity_code").alias("code")))
-    now = _periods(load_sums(rows))
-    before = _periods(_table(spark, state_root, "sums", SUMS).filter(F.col(LOAD_ID) == load))
-    for name, state in (("sums", load_sums(rows)), ("sets", load_sets(rows, numbers))):
-        _replace(state.withColumn(LOAD_ID, F.lit(load)), f"{state_root}/{name}")
-    release(rows)
-    left = sorted(before - now, key=str)
-    touched = sorted(before | now, key=lambda p: (p is None, p or ""))
+    mine = F.col(LOAD_ID) == load
+    noted = _table(spark, state_root, "pending", PENDING).filter(mine)
+    periods = _periods(sums) | _periods(_table(spark, state_root, "sums", SUMS).filter(mine)) | _periods(noted)
+    touched = sorted(periods, key=lambda p: (p is None, p or ""))
     if touched:
-        renew_summary(spark, state_root, summary_path, touched, without=(load, left))
-    for period in left:
-        for name in ("sums", "sets"):
-            remove_folder(spark, f"{state_root}/{name}/{partition_folder(spark, {'period': period, LOAD_ID: load})}")
+        pending = f"{state_root}/pending/{partition_folder(spark, {LOAD_ID: load})}"
+        spark.createDataFrame([(p,) for p in touched], "period string").coalesce(1).write.mode("overwrite").parquet(pending)
+        for name, state in (("sums", sums), ("sets", load_sets(rows, numbers))):
+            _take_in(state, f"{state_root}/{name}", load)
+        renew_summary(spark, state_root, summary_path, touched)
+        remove_folder(spark, pending)
+    release(rows, sums)
     return touched
 
 
+def _take_in(state: DataFrame, path: str, load: str) -> None:
+    """Make ``state`` all that the table at ``path`` has of ``load``."""
+    state = materialize(state, "load-state")
+    spark = state.sparkSession
+    if state.isEmpty():  # an empty result overwrites no folder
+        remove_folder(spark, f"{path}/{partition_folder(spark, {LOAD_ID: load})}")
+    else:
+        _replace(state.withColumn(LOAD_ID, F.lit(load)), path)
+    release(state)
+
+
 def _periods(rows: DataFrame) -> set[str | None]:
     return {r["period"] for r in rows.select("period").distinct().collect()}
 
 
-def renew_summary(
-    spark: SparkSession, state_root: str, summary_path: str, periods: list[str | None], without: tuple[str, list] = ("", [])
-) -> None:
-    """Replace the summary of ``periods`` by what their states add up to; ``without`` names a load and periods it has left."""
-    load, left = without
-    stays = _in(periods) & ~((F.col(LOAD_ID) == load) & _in(left)) if left else _in(periods)
-    sums, sets = (_table(spark, state_root, n, s).filter(stays) for n, s in (("sums", SUMS), ("sets", BITMAPS)))
+def renew_summary(spark: SparkSession, state_root: str, summary_path: str, periods: list[str | None]) -> None:
+    """Replace the summary of ``periods`` by what their states add up to."""
+    sums, sets = (_table(spark, state_root, n, s).filter(_in(periods)) for n, s in (("sums", SUMS), ("sets", BITMAPS)))
     summary = materialize(summary_of(sums, sets).select(*REPORTER_SUMMARY.names), "renewed")
     (
         summary.hint("rebalance", "period")

@@ -66,7 +66,6 @@ def test_a_repeated_load_replaces_itself_and_leaves_old_periods(spark, root):
     assert touched == ["2021", "2022", "2023", "2024"]
     equal(stored(spark, root), rebuilt(spark, kept + right))
     assert update(spark, root, "b", right) == ["2021", "2022"]
-    equal(stored(spark, root), rebuilt(spark, kept + right))
 
 
 def test_a_call_cut_short_can_be_repeated(spark, root, monkeypatch):
