@@ -1,25 +1,52 @@
-"""Incremental landing load: every new raw file goes to bronze exactly once (ST1)."""
+"""Incremental landing load: every new raw file goes to bronze exactly once (ST1).
+
+The file source remembers paths. A file that is delivered again under another path, or zipped, is told by its endpoint, run
+id and content: these are keys in the stream's state store, which checkpoints with the files, so restarts and repeated
+batches see the same keys. The clock of that state is the time a batch starts, never a file's own stamp: no file can
+be too late for it, and a key is forgotten once it is older than ``REMEMBER``.
+"""
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.loads import ingest, utc_now
+from ..plans.loads import NothingLanded, ingest, utc_now
 from ..sources.envelopes import RAW_FILES, with_envelope_columns, with_path_columns
 
 
+#: How long a delivered file is known.
+REMEMBER = "90 days"
+#: How much older than the newest file a file may be. Spark's own limit of a week would pass over files that were copied with their stamps.
+OLDEST = "36500d"
+#: What makes two files the same delivery.
+DELIVERY = ("endpoint", "run_id", "digest")
+
+
+def delivered_once(files: DataFrame, remember: str = REMEMBER) -> DataFrame:
+    """The first file of each delivery; ``files`` is a stream with ``value``, ``endpoint`` and ``run_id``.
+
+    The state holds the three short keys of a delivery, not its text. Files of one batch count as well.
+    """
+    keyed = files.withColumns({"digest": F.sha2("value", 256), "arrived": F.current_timestamp()})
+    return keyed.withWatermark("arrived", remember).dropDuplicatesWithinWatermark([*DELIVERY]).drop("digest", "arrived")
+
+
 def stream_envelopes(
     spark: SparkSession,
     root: str,
     max_files: int = 10_000,
     glob: str = RAW_FILES,
     archive: str | None = None,
+    remember: str | None = REMEMBER,
 ) -> DataFrame:
     """New envelope files below ``root`` as a stream, one row per file.
 
-    With ``archive`` finished files move there, which keeps the listing of ``root`` short.
+    With ``archive`` finished files move there, which keeps the listing of ``root`` short. Without ``remember`` a file that
+    comes again elsewhere is a file of its own.
     """
     source = spark.readStream.format("text")
     if archive:
@@ -30,6 +57,7 @@ def stream_envelopes(
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", OLDEST)
         .load(root)
         .select(
             "value",
@@ -37,7 +65,10 @@ def stream_envelopes(
             F.col("_metadata.file_size").alias("file_size"),
         )
     )
-    return with_envelope_columns(with_path_columns(files, root)).drop("value")
+    named = with_path_columns(files, root)
+    if remember:
+        named = delivered_once(named, remember)
+    return with_envelope_columns(named).drop("value")
 
 
 def start_landing_load(
@@ -49,19 +80,21 @@ def start_landing_load(
     name: str = "landing",
     max_files: int = 10_000,
     archive: str | None = None,
+    remember: str | None = REMEMBER,
 ) -> StreamingQuery:
     """Process all files that are there now, in micro-batches, then stop.
 
-    The checkpoint remembers which files are done. A micro-batch that is repeated after a
+    The checkpoint remembers which files are done, and which deliveries. A micro-batch that is repeated after a
     failure has the same batch number, hence the same load id, and replaces its own rows.
     """
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        # Nothing may be left of a batch whose files all came before.
+        with suppress(NothingLanded):
             ingest(batch, bronze_root, state_root, utc_now(), f"{name}-{batch_id}")
 
     return (
-        stream_envelopes(spark, root, max_files, archive=archive)
+        stream_envelopes(spark, root, max_files, archive=archive, remember=remember)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .queryName(name)

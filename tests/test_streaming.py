@@ -1,4 +1,6 @@
+import gzip
 import json
+import os
 
 from conftest import flow
 from pyspark.sql import functions as F
@@ -43,6 +45,38 @@ def test_several_batches(spark, tmp_path):
     assert len(rows) == 3 and len({r["load_id"] for r in rows}) == 3
 
 
+def deliver(base, folder, name, records):
+    target = base / "raw/preview" / folder
+    target.mkdir(parents=True, exist_ok=True)
+    text = json.dumps({"data": records})
+    if name.endswith(".gz"):
+        (target / name).write_bytes(gzip.compress(text.encode()))
+    else:
+        (target / name).write_text(text)
+
+
+def test_one_delivery_in_three_forms_over_two_restarts(spark, tmp_path):
+    march, april = "type=C/freq=A/year=2024/month=03", "type=C/freq=A/year=2024/month=04"
+    deliver(tmp_path, march, "a.json", [flow(cmdCode="1"), flow(cmdCode="2")])
+    deliver(tmp_path, march, "a.json.gz", [flow(cmdCode="1"), flow(cmdCode="2")])
+    assert load(spark, tmp_path).count() == 2
+    deliver(tmp_path, april, "a.json", [flow(cmdCode="1"), flow(cmdCode="2")])
+    assert load(spark, tmp_path).count() == 2
+    deliver(tmp_path, april, "a.txt", [flow(cmdCode="1"), flow(cmdCode="2")])
+    deliver(tmp_path, april, "b.json", [flow(cmdCode="1"), flow(cmdCode="2")])  # another run with equal content
+    deliver(tmp_path, march, "a.txt.gz", [flow(cmdCode="3")])  # the same run with other content
+    codes = sorted(r["cmdCode"] for r in load(spark, tmp_path).collect())
+    assert codes == ["1", "1", "2", "2", "3"]
+
+
+def test_old_files_are_never_too_late(spark, tmp_path):
+    deliver(tmp_path, "type=C/freq=A/year=2024/month=03", "new.json", [flow(cmdCode="1")])
+    assert load(spark, tmp_path).count() == 1
+    deliver(tmp_path, "type=C/freq=A/year=2024/month=03", "old.json", [flow(cmdCode="2")])
+    os.utime(tmp_path / "raw/preview/type=C/freq=A/year=2024/month=03/old.json", (1e9, 1e9))
+    assert load(spark, tmp_path).count() == 2
+
+
 POINTS = [
     ("2024-01-01 00:00:00", 60.0), ("2024-01-01 00:04:59", 50.0), ("2024-01-01 00:05:00", 100.0),
     ("2024-01-01 00:11:00", 101.0), ("2024-01-01 02:00:00", 1.0),
