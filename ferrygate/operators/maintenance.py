@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,12 @@ from ..sources.bronze import (
     COMPACTED,
     LOAD_ID,
     SOURCE_LOAD,
+    mark_merging,
     merge_columns,
     note_columns,
     stored_columns,
     table_path,
+    unmark_merging,
 )
 from ..sources.deadletter import LOAD, PARTITIONS, scan_manifests
 from ..sources.layout import NULL_FOLDER, decoded, partition_folder
@@ -25,6 +28,12 @@ from ..sources.layout import NULL_FOLDER, decoded, partition_folder
 log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+ROW_GROUP_BYTES = 32 * 1024 * 1024
+#: Columns that reads look single values up in, in lower case, and how many distinct values their bloom filters expect.
+CLUSTER = ("reportercode", "partnercode", "cmdcode")
+BLOOM_VALUES = 10_000
+#: Shares that each of them is cut into, as a power of two, and shares of a folder's rows along the curve.
+CURVE_BITS, CUTS = 6, 128
 FILES_PER_JOB = 10_000
 
 FOLDERS = (*PARTITIONS, LOAD)
@@ -74,13 +83,24 @@ def _jobs(leaves: dict[str, int]) -> Iterator[dict[str, int]]:
         yield group
 
 
-def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> list[str]:
+def compact(
+    spark: SparkSession,
+    path: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    cluster: tuple[str, ...] = CLUSTER,
+    row_group_bytes: int = ROW_GROUP_BYTES,
+) -> list[str]:
     """Merge the loads of crowded periods into one folder with files near the target size.
 
     Rows do not change: those of all loads of a period go to the folder ``load_id=compacted``, each with the load it
     came from, so that a load that is repeated later can still replace its rows (see ``append_bronze``). The merged
-    folders are removed afterwards; if that is cut short, the next compaction recognises their rows and leaves them out.
-    A period's rows are spread over as many tasks as it needs files. Returns the periods rewritten.
+    folders are removed afterwards. While that is under way a mark lies beside the data: readers then leave out what is there twice, so a
+    compaction that was cut short shows no row twice, and the next one finishes its work.
+
+    Rows are ordered along a space-filling curve over the ``cluster`` columns the table has, and these get bloom filters: a
+    read of one reporter, partner or commodity skips the row groups without it. A period's rows are spread over as many
+    tasks as it needs files, in the curve's order; what shares a place on the curve is spread by its place in the old files, which a
+    repeated task sees again. Returns the periods rewritten.
     """
     columns = stored_columns(spark, path)
     if columns is None:
@@ -91,28 +111,86 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     loads = LOAD_ID in columns.names
     if leaves and loads:
         note_columns(spark, path, merge_columns(columns, StructType.fromDDL(f"{SOURCE_LOAD} string")))
+    named = [c for c in columns.names if c.lower() in cluster and c not in keys]
     for group in _jobs(leaves):
-        rows = spark.read.schema(stored_columns(spark, path)).parquet(path)
-        wanted = spark.createDataFrame(list(group.items()), "_leaf string, _wanted int")
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        rows = spark.read.schema(stored_columns(spark, path)).parquet(path).withColumn("_place", place)
         rows = rows.withColumn("_leaf", _leaf(keys)).filter(F.col("_leaf").isin(*group))
         old = []
         if loads:
             rows, old = _merged(rows, keys)
-        (
-            rows.join(wanted, "_leaf")
-            .withColumn("_slot", F.floor(F.rand(7) * F.col("_wanted")))
-            .repartition(sum(group.values()), "_leaf", "_slot")
-            .drop("_slot", "_leaf", "_wanted")
+            mark_merging(spark, path, [row["period"] for row in old] if keys else [])
+        writer = (
+            _spread(rows, group, named)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("parquet.block.size", row_group_bytes)
             .partitionBy(*keys, *([LOAD_ID] if loads else []))
-            .parquet(path)
         )
+        for name in named:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(f"parquet.bloom.filter.expected.ndv#{name}", BLOOM_VALUES)
+        writer.parquet(path)
         for row in old:
             remove_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, row, (*keys, LOAD_ID))}")
+        if loads:
+            unmark_merging(spark, path)
     return sorted(leaves)
 
 
+def _spread(rows: DataFrame, wanted: dict[str, int], cluster: list[str]) -> DataFrame:
+    """``rows`` with ``_leaf`` and ``_place``, dealt into the wanted number of files per leaf in the order of the curve."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("_curve", curve(rows, cluster))
+    cuts = [i / CUTS for i in range(1, CUTS)]
+    bounds = rows.groupBy("_leaf").agg(F.percentile_approx("_curve", cuts, 1000).alias("_bounds"))
+    starts = accumulate([0, *wanted.values()])
+    leaves = spark.createDataFrame([(*x, n) for x, n in zip(wanted.items(), starts)], "_leaf string, _wanted int, _start int").join(bounds, "_leaf")
+    at_most = lambda inside: F.size(F.filter("_bounds", inside))
+    low, high = at_most(lambda b: b < F.col("_curve")), at_most(lambda b: b <= F.col("_curve"))
+    # a place that many rows share lies between several bounds, and its rows are dealt to all of them
+    even = F.pmod("_place", F.lit(1_000_003)) / F.lit(1_000_003.0)
+    slot = F.least(F.floor((low + even * (high - low + 1)) * F.col("_wanted") / CUTS), F.col("_wanted") - 1)
+    return (
+        rows.join(leaves, "_leaf")
+        .withColumn("_slot", (F.col("_start") + slot).cast("int"))
+        .repartitionById(sum(wanted.values()), "_slot")
+        .sortWithinPartitions("_curve")
+        .drop("_slot", "_leaf", "_wanted", "_start", "_bounds", "_curve", "_place")
+    )
+
+
+def curve(rows: DataFrame, columns: list[str]) -> Column:
+    """The place of a row on a Z-order curve over text columns, each cut into equal shares of the rows.
+
+    The cuts are approximate quantiles of the first seven bytes, found in one aggregate; a few numbers per column reach the driver.
+    """
+    if not columns:
+        return F.lit(0).cast("long")
+    numbers = [_leading_bytes(F.col(name).cast("string")) for name in columns]
+    shares = [i / (1 << CURVE_BITS) for i in range(1, 1 << CURVE_BITS)]
+    cuts = rows.agg(*(F.percentile_approx(number, shares, 1000).alias(f"c{i}") for i, number in enumerate(numbers))).first()
+    place = F.lit(0).cast("long")
+    for i, number in enumerate(numbers):
+        known = cuts[f"c{i}"] or []  # equal cuts stay: they keep the shares even
+        bucket = _cuts_below(known, number)
+        for bit in range(CURVE_BITS):
+            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("long")
+            place = place.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i))
+    return place
+
+
+def _cuts_below(cuts: list[int], number: Column) -> Column:
+    if not cuts:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < number))
+
+
+def _leading_bytes(text: Column) -> Column:
+    """The first seven bytes as a number that orders like the text; null comes first."""
+    digits = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 7)), 14, "0")
+    return F.coalesce(F.conv(digits, 16, 10).cast("long"), F.lit(-1).cast("long"))
+
+
 def _merged(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, list]:
     """All rows under the common load folder, those of earlier compactions once, and the folders they replace."""
     merged = rows.filter(F.col(LOAD_ID) == COMPACTED)
