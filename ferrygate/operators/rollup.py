@@ -27,6 +27,7 @@ from ..sources.bronze import LOAD_ID, load_folder
 from ..sources.layout import partition_folder
 from .silver import REPORTER_DIMENSIONS
 from .staging import valid_measures
+from .upsert import forget_fingerprints
 
 SETS = ("commodity", "partner")
 #: The flows that have a column of their own; all others are in the total alone.
@@ -190,6 +191,7 @@ def renew_summary(spark: SparkSession, state_root: str, summary_path: str, perio
     """Replace the summary of ``periods`` by what their states add up to."""
     sums, sets = (_table(spark, state_root, n, s).filter(_in(periods)) for n, s in (("sums", SUMS), ("sets", BITMAPS)))
     summary = materialize(summary_of(sums, sets).select(*REPORTER_SUMMARY.names), "renewed")
+    forget_fingerprints(spark, summary_path)
     (
         summary.hint("rebalance", "period")
         .write.mode("overwrite")
