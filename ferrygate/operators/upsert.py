@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,10 +137,24 @@ def _inside(periods: list[str | None]) -> Column:
     return inside | F.col(PARTITION).isNull() if None in periods else inside
 
 
+class Merged(NamedTuple):
+    """Periods that the source has, and those of them whose folders were written."""
+
+    touched: list[str | None]
+    rewritten: list[str | None]
+
+
 def upsert(
     source: DataFrame, path: str, keys: tuple[str, ...], schema: StructType, full: bool = False
 ) -> list[str | None]:
-    """Update matched rows, insert new ones, delete none; returns the periods rewritten.
+    """:func:`merge`; returns the periods that the source has."""
+    return merge(source, path, keys, schema, full).touched
+
+
+def merge(
+    source: DataFrame, path: str, keys: tuple[str, ...], schema: StructType, full: bool = False
+) -> Merged:
+    """Update matched rows, insert new ones, delete none.
 
     ``period`` belongs to every key, so only the periods present in ``source`` are read, and only those in which a row is
     new or differs are rewritten. ``source`` is used several times: pass a materialised result. ``full`` replaces
@@ -156,29 +171,29 @@ def upsert(
             "partitionOverwriteMode", "static"
         ).partitionBy(PARTITION).parquet(path)
         _store_fingerprints(spark, path, incoming)
-        return touched
+        return Merged(touched, touched)
     target = read_silver(spark, path, schema)
     if target is None:
         _write(source, path)
         _store_fingerprints(spark, path, incoming)
-        return touched
+        return Merged(touched, touched)
     _check_stored(spark, path, schema)
     stored = stored_fingerprints(spark, path)
     unknown = [p for p in touched if p not in stored or stored[p] != incoming[p]]
     if not unknown:
-        return []
+        return Merged(touched, [])
     source, target = source.filter(_inside(unknown)), target.filter(_inside(unknown))
     changes = _changes(target, source, keys)
     rewritten = [p for p in unknown if p in changes]
     if not rewritten:
-        return []
+        return Merged(touched, [])
     _store_fingerprints(spark, path, {p: f for p, f in stored.items() if p not in changes})
     _write(merged_rows(target.filter(_inside(rewritten)), source.filter(_inside(rewritten)), keys), path)
     known = {p: _plus(stored[p], changes[p]) for p in rewritten if p in stored}
     if missing := [p for p in rewritten if p not in stored]:
         known |= fingerprints(read_silver(spark, path, schema).filter(_inside(missing)))
     _store_fingerprints(spark, path, stored | known)
-    return rewritten
+    return Merged(touched, rewritten)
 
 
 def _plus(old: Fingerprint, change: Fingerprint) -> Fingerprint:
