@@ -23,6 +23,9 @@ DOTTED_TOKEN = r"[0-9][0-9.]*"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"\A{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}\.*\z"
 SEVERITY = {"card": "High", "email": "Medium", "phone": "Medium", "ip": "Low"}
+#: Version of the values above; a change of any of them needs a new one, so that scanned files are scanned again.
+DETECTORS = 1
+FINDING = "table_name string, column_name string, row_key string, kind string, severity string, n int, low boolean"
 
 
 def _tokens(text: Column, shape: str) -> Column:
@@ -72,13 +75,18 @@ def detector_counts(text: Column) -> dict[str, Column]:
 
 
 def pii_findings(
-    df: DataFrame, table: str, key: str, columns: list[str] | None = None
+    df: DataFrame,
+    table: str,
+    key: str,
+    columns: list[str] | None = None,
+    keep: dict[str, str] | None = None,
 ) -> DataFrame:
     """``table_name, column_name, row_key, kind, severity, n, low`` for rows with findings.
 
     ``columns`` defaults to every text column. ``low`` marks findings of low severity; they
-    are kept in the result.
+    are kept in the result. ``keep`` names further columns to carry along: result name to column of ``df``.
     """
+    kept = keep or {}
     names = columns or [
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != key
     ]
@@ -96,8 +104,11 @@ def pii_findings(
     )
     hits = F.filter(found, lambda f: f["n"] > 0)
     return (
-        df.select(F.col(key).cast("string").alias("row_key"), F.explode(hits).alias("f"))
+        df.select(
+            F.col(key).cast("string").alias("row_key"),
+            *(F.col(column).alias(name) for name, column in kept.items()),
+            F.explode(hits).alias("f"),
+        )
         .select(F.lit(table).alias("table_name"), "f.column_name", "row_key", "f.kind",
-                "f.severity", "f.n")
-        .withColumn("low", F.col("severity") == "Low")
+                "f.severity", "f.n", (F.col("f.severity") == "Low").alias("low"), *kept)
     )

@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ferrygate.operators import scanledger
 from ferrygate.operators.governance import luhn_valid, pii_findings
 
 CASES = {
@@ -60,3 +61,53 @@ def test_luhn(spark, numbers):
     df = spark.createDataFrame([(n,) for n in numbers], "n string")
     got = df.select("n", luhn_valid(F.col("n"))).collect()
     assert [r[1] for r in got] == [plain_luhn(r[0]) for r in got]
+
+
+SCHEMA = "id int, body string"
+
+
+def put(spark, path, *bodies):
+    spark.createDataFrame(list(enumerate(bodies)), SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def stop(*_):
+    raise KeyboardInterrupt
+
+
+def known(spark, root):
+    rows = scanledger.known_findings(spark, f"{root}/t", f"{root}/l", "t").collect()
+    return sorted((r["row_key"], r["kind"], r["n"]) for r in rows)
+
+
+def test_second_scan_reads_no_file(spark, root, monkeypatch):
+    monkeypatch.setattr(scanledger, "FILES_PER_BATCH", 2)
+    for name in ("a {x}", "b", "c%2", "d"):
+        put(spark, f"{root}/t/{name}", "x@y.org", "nothing")
+    scan = lambda: scanledger.scan_new(spark, f"{root}/t", f"{root}/l", "t", "id", SCHEMA)
+    assert scan() == 4 and known(spark, root) == [("0", "email", 1)] * 4
+    monkeypatch.setattr(scanledger, "pii_findings", None)  # nothing is left to scan
+    assert scan() == 0 and known(spark, root) == [("0", "email", 1)] * 4
+
+
+def test_replaced_and_removed_files_and_new_detectors(spark, root, monkeypatch):
+    scan = lambda: scanledger.scan_new(spark, f"{root}/t", f"{root}/l", "t", "id", SCHEMA)
+    put(spark, f"{root}/t/a", "x@y.org")
+    put(spark, f"{root}/t/b", "10.0.0.1")
+    assert scan() == 2
+    put(spark, f"{root}/t/a", "two x@y.org z@y.org")
+    assert known(spark, root) == [("0", "ip", 1)]
+    assert scan() == 1 and known(spark, root) == [("0", "email", 2), ("0", "ip", 1)]
+    monkeypatch.setattr(scanledger, "DETECTORS", 2)
+    assert known(spark, root) == [] and scan() == 2
+    assert known(spark, root) == [("0", "email", 2), ("0", "ip", 1)]
+
+
+def test_scan_cut_short_between_findings_and_files(spark, root, monkeypatch):
+    scan = lambda: scanledger.scan_new(spark, f"{root}/t", f"{root}/l", "t", "id", SCHEMA)
+    put(spark, f"{root}/t/a", "x@y.org")
+    with monkeypatch.context() as broken:
+        broken.setattr(scanledger, "_remember", stop)
+        with pytest.raises(KeyboardInterrupt):
+            scan()
+    assert spark.read.parquet(f"{root}/l/findings").count() == 1 and known(spark, root) == []
+    assert scan() == 1 and known(spark, root) == [("0", "email", 1)]
