@@ -7,8 +7,12 @@ descent in numpy on a bounded sample: about ``PER_LANGUAGE`` documents of each l
 multiplied into one bucket-by-language table first.
 
 Calibration, on sampled documents that training did not see: a temperature that minimises the log loss of whole
-documents, and a rejection threshold, the ``REJECT`` quantile of the true language's probability, at most one
-half (what is more likely than not is never rejected).
+documents, and two bounds below which a text is rejected. One is on the best language's probability: its ``REJECT`` quantile, at most one
+half (what is more likely than not is never rejected). The other is on familiarity, the mean log frequency of a text's n-grams in the
+training windows: softmax is as sure of noise and unseen scripts as of its languages, familiarity falls with them. The bound lies
+``REACH`` times as far below the median as the 5 % quantile of the least familiar language, and further below for short texts, whose mean is
+less certain. Both are quantiles that the held-back rows support and neither looks at a label, so wrong labels do not move them. With fewer than
+``LEAST_ROWS`` held-back rows nothing is rejected for being unfamiliar.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; where nothing can be
 learned (an empty table, no languages) every text is ``und`` with score 0 and only texts without a letter count as
@@ -30,9 +34,11 @@ from pyspark.sql import functions as F
 from .common import table
 
 BUCKETS, DIM, ORDERS = 1 << 16, 16, (2, 3, 4)
-PER_LANGUAGE, WINDOWS, WINDOW = 1000, 4, 200
+PER_LANGUAGE, WINDOWS, WINDOW = 1500, 4, 240
 EPOCHS, BATCH, RATE = 4, 32, 2.0
-REJECT = 0.0005
+REJECT = 0.005
+#: Distance of the familiarity bound, held-back rows it needs, and n-grams of a text for which it lies 1.4 times as far away.
+REACH, LEAST_ROWS, SHORT = 3.0, 20, 60
 UNKNOWN = "und"
 #: Bytes that are hashed at a time.
 SLICE = 1 << 20
@@ -65,17 +71,24 @@ def subword_ids(text: str) -> Iterator[np.ndarray]:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    scores: np.ndarray  # bucket by language
+    scores: np.ndarray  # bucket by language, then one column of log frequencies
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    usual: float = 0.0  # median familiarity
+    reach: float = np.inf  # how far below it a long text may be
 
-    def logits(self, text: str) -> np.ndarray:
-        total, n = np.zeros(len(self.languages)), 0
+    def measured(self, text: str) -> tuple[np.ndarray, float, int]:
+        """Logits, familiarity and number of n-grams of a text."""
+        total, n = np.zeros(len(self.languages) + 1), 0
         for ids in subword_ids(text):
             total += self.scores[ids].sum(axis=0, dtype=np.float64)
             n += len(ids)
-        return total / max(n, 1) + self.bias
+        mean = total / max(n, 1)
+        return mean[:-1] + self.bias, float(mean[-1]), n
+
+    def unfamiliar(self, familiarity: float, n: int) -> bool:
+        return bool(n and self.usual - familiarity > self.reach * np.sqrt(1 + SHORT / n))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         languages, scores, rejected = [], [], []
@@ -85,10 +98,11 @@ class LanguageModel:
             elif not self.languages:
                 languages.append(UNKNOWN), scores.append(0.0), rejected.append(False)
             else:
-                p = _softmax(self.logits(text)[None] / self.temperature)[0]
+                logits, familiarity, n = self.measured(text)
+                p = _softmax(logits[None] / self.temperature)[0]
                 best = int(p.argmax())
                 languages.append(self.languages[best]), scores.append(float(p[best]))
-                rejected.append(bool(p[best] < self.threshold))
+                rejected.append(bool(p[best] < self.threshold) or self.unfamiliar(familiarity, n))
         return languages, scores, rejected
 
 
@@ -127,7 +141,9 @@ def train(windows: list[str], targets: np.ndarray, languages: list[str], seed: i
             weights -= rate / len(rows) * (hidden.T @ error)
             bias -= rate / len(rows) * error.sum(axis=0) * 0.1
             np.subtract.at(table_, flat, back[owner].astype(np.float32))
-    return LanguageModel(languages, table_ @ weights, bias)
+    counts = np.bincount(every, minlength=BUCKETS) + 0.5
+    frequency = np.log(counts / counts.sum()).astype(np.float32)
+    return LanguageModel(languages, np.column_stack([table_ @ weights, frequency]), bias)
 
 
 def _sampled(docs: DataFrame, usable: Column) -> tuple[DataFrame, list[str]]:
@@ -150,7 +166,7 @@ def fit(docs: DataFrame, usable: Column) -> LanguageModel:
     """Learn from the rows of ``docs(doc_id, text, lang)`` for which ``usable`` holds."""
     sample, languages = _sampled(docs, usable)
     if not languages:
-        return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return LanguageModel([], np.zeros((BUCKETS, 1), np.float32), np.zeros(0))
     calibration = F.pmod(F.col("order"), F.lit(4)) == 0
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,10 +191,14 @@ def fit(docs: DataFrame, usable: Column) -> LanguageModel:
 def _calibrated(model: LanguageModel, held_back: DataFrame, place: dict[str, int]) -> LanguageModel:
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [(lang, t) for lang, t in zip(frame["lang"], frame["text"]) if _LETTER.search(t)]
-            yield pd.DataFrame({"lang": [lang for lang, _ in texts], "logits": [model.logits(t).tolist() for _, t in texts]})
+            out = []
+            for lang, text in zip(frame["lang"], frame["text"]):
+                if _LETTER.search(text):
+                    logits, familiarity, n = model.measured(text)
+                    out.append((lang, logits.tolist(), familiarity, n))
+            yield pd.DataFrame(out, columns=["lang", "logits", "familiarity", "n"])
 
-    rows = held_back.mapInPandas(whole, "lang string, logits array<double>").toPandas()
+    rows = held_back.mapInPandas(whole, "lang string, logits array<double>, familiarity double, n long").toPandas()
     if rows.empty:
         return model
     logits, truth = np.array(rows["logits"].tolist()), rows["lang"].map(place).to_numpy()
@@ -186,7 +206,13 @@ def _calibrated(model: LanguageModel, held_back: DataFrame, place: dict[str, int
     grid = np.geomspace(0.05, 20, 60)
     losses = [-np.log(_softmax(logits / t)[at, truth] + 1e-12).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(losses))])
-    model.threshold = float(min(0.5, np.quantile(_softmax(logits / model.temperature)[at, truth], REJECT)))
+    model.threshold = float(min(0.5, np.quantile(_softmax(logits / model.temperature).max(axis=1), REJECT)))
+    taken, long = logits.argmax(axis=1), rows["n"].to_numpy() >= SHORT
+    groups = [rows["familiarity"].to_numpy()[long & (taken == i)] for i in place.values()]
+    groups = [g for g in groups if len(g) >= LEAST_ROWS]
+    if groups:
+        model.usual = float(np.median(np.concatenate(groups)))
+        model.reach = REACH * (model.usual - min(float(np.quantile(g, 0.05)) for g in groups))
     return model
 
 

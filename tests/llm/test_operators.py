@@ -12,12 +12,13 @@ import pytest
 sys.path.insert(0, str(Path(__file__).parent))
 
 from conftest import SF
+from pyspark.sql import functions as F
 from corpus import benchmark, edge, edge_rows
 
 from ferrygate.llm import decontam, exact, langid, mixing, neardup, pii, secrets, tokens, toxicity, warc
 from ferrygate.session import scratch_dir
 
-SF_LARGER = "/root/testdata/sf0.01"
+SF_LARGER, SF_LARGEST = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 def frame(spark, texts, **columns):
@@ -81,6 +82,27 @@ def test_languages_of_held_out_documents(spark):
     assert sum(f["rejected"] for _, f in truth) <= 0.01 * len(truth)
 
 
+NOISE = [
+    "zxq vkj wqp jzx qqx vvk zzj xkq " * 8,
+    "日本語の文章はここにあります。" * 10,
+    "Это русский текст, который никто не видел. " * 5,
+    "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyz    ", k=600)),
+]
+
+
+@pytest.mark.parametrize("wrong", [0, 100])
+def test_noise_and_unseen_scripts_are_rejected(spark, wrong):
+    """Also where one label in a hundred is wrong; texts of the known languages stay."""
+    docs = spark.read.parquet(f"{SF_LARGER}/documents.parquet").select("doc_id", "text", "lang")
+    if wrong:
+        spoiled = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(wrong)) == 0, F.lit("fr")).otherwise(F.col("lang"))
+        docs = docs.withColumn("lang", F.when(F.col("lang").isNotNull(), spoiled))
+    model = langid.fit(docs, langid.fold_of("doc_id", 4) != 2)
+    assert model.predict(NOISE)[2] == [True] * len(NOISE)
+    texts = [r["text"] for r in docs.collect()]
+    assert sum(model.predict(texts)[2]) <= 0.01 * len(texts)
+
+
 def test_a_language_does_not_depend_on_its_neighbours_or_slices(spark, monkeypatch):
     text = "some words of a text, again and again. " * 50
     whole = sum(np.bincount(i, minlength=langid.BUCKETS) for i in langid.subword_ids(text))
@@ -107,6 +129,22 @@ def test_toxicity_learns_words_from_toxic_and_unlabelled_texts(spark):
     assert sum(right) >= 0.98 * len(right)
 
 
+def test_toxicity_of_held_out_labelled_documents(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF_LARGEST}/labels.parquet").collect()}
+    found = [r for r in toxicity.op5_toxicity(spark, SF_LARGEST).filter("held_out").collect() if labels.get(r["doc_id"]) is not None]
+    toxic = {r["doc_id"] for r in found if labels[r["doc_id"]] == 1}
+    called = {r["doc_id"] for r in found if r["predicted"] == 1}
+    assert len(toxic) > 100 and len(called & toxic) >= 0.75 * len(toxic) and len(called & toxic) >= 0.8 * len(called)
+
+
+def test_shares_count_every_text(spark):
+    docs = frame(spark, ["alpha beta", "beta beta gamma", None, "", "beta"])
+    share = toxicity.text_shares(docs.repartition(3))
+    assert share[toxicity.distinct_buckets("beta")] == pytest.approx(3.5 / 6)
+    assert share[toxicity.distinct_buckets("gamma")] == pytest.approx(1.5 / 6)
+    assert (share > 0.5 / 6).sum() == len(toxicity.distinct_buckets("alpha beta gamma"))
+
+
 def test_word_buckets_do_not_depend_on_place(monkeypatch):
     alone = set(toxicity.distinct_buckets("Idiot").tolist())
     text = "der Idiot***, und " * 3000
