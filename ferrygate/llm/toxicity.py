@@ -3,11 +3,12 @@
 Features are the distinct hashed words of a text (runs of letters, lower case) and prefixes of words. A sparse linear classifier is trained
 in numpy from confirmed toxic texts and from unlabelled texts of the learning folds, on the class-prior-corrected risk
 ``prior * R_P(+) + max(0, R_U(-) - prior * R_P(-))`` with the logistic loss: where the bracket turns negative on a batch, its
-gradient is reversed. Features are the words that are significantly more frequent among the toxic texts. The prior is the toxic share among all
-labelled rows of the learning folds. A logistic calibration on labelled rows that training did not see turns
+gradient is reversed. Features are the words that are significantly more frequent among the toxic texts than among all texts: document
+counts of every bucket come from one combined aggregate over all rows of the learning folds. The prior is the toxic share among all
+labelled rows of these folds. A logistic calibration on labelled rows that training did not see turns
 margins into scores.
 
-What is sampled, all chosen by the hash of the id: at most ``POSITIVES`` toxic, ``UNLABELLED`` unlabelled and
+What is sampled, for gradient steps and calibration only, all chosen by the hash of the id: at most ``POSITIVES`` toxic, ``UNLABELLED`` unlabelled and
 ``LABELLED`` calibration documents, near copies of each other thinned to one. Scores read whole texts.
 
 Defined cases: a null text counts as empty and gets the score of a text without words; without any confirmed
@@ -140,11 +141,15 @@ def _texts_with(rows: list[np.ndarray]) -> np.ndarray:
     return np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]), minlength=1 << BITS)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 11) -> ToxicityModel:
-    """Minimise the non-negative risk by stochastic gradient descent over the significant words."""
+def train(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], share: np.ndarray, prior: float, seed: int = 11
+) -> ToxicityModel:
+    """Minimise the non-negative risk by stochastic gradient descent over the significant words.
+
+    ``share`` is the share of all texts that hold a word of each bucket.
+    """
     rng = np.random.default_rng(seed)
     size = 1 << BITS
-    share = (_texts_with(unlabelled) + 0.5) / (len(unlabelled) + 1)
     positive = without_near_copies(positive, share)
     in_p = _texts_with(positive)
     expected = len(positive) * share
@@ -210,6 +215,28 @@ def _thinned(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.drop_duplicates("sketch")
 
 
+def text_shares(docs: DataFrame) -> np.ndarray:
+    """The share of all texts of ``docs(text)`` that hold a word of each bucket; at most ``2 ** BITS`` numbers reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, held = 0, np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                n += 1
+                held[distinct_buckets(text or "")] += 1
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, -1)), pa.array(np.append(held[used], n))], names=["bucket", "n"]
+        )
+
+    # the row of bucket -1 counts texts
+    found = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    bucket, n = found["bucket"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
+    texts, out = n[bucket < 0].sum(), np.zeros(1 << BITS)
+    out[bucket[bucket >= 0]] = n[bucket >= 0]
+    return (out + 0.5) / (texts + 1)
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
     """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``, from rows for which ``usable`` holds only."""
     order = F.xxhash64("doc_id", F.lit("toxicity"))
@@ -259,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
 
     if not of("positive"):
         return ToxicityModel(np.zeros(1 << BITS, np.float32), 0.0, constant=0.0)
-    model = train(of("positive"), of("unlabelled"), float(prior))
+    share = text_shares(docs.filter(usable))
+    model = train(of("positive"), of("unlabelled"), share, float(prior))
     return calibrate(model, of("labelled"), sets["labelled"]["toxic"].to_numpy(float)) if "labelled" in sets else model
 
 
