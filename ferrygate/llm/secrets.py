@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..filesystem import exists
 from ..session import materialize, release, scratch_dir
-from .common import table, text_or_empty
+from .common import FILE_KEY, ROW_KEY, table, text_or_empty, with_row_key
 
 
 class Rule(NamedTuple):
@@ -91,8 +91,6 @@ def scan_versions(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -
     """
     spark = versions.sparkSession
     text = text_or_empty()
-    named = versions.select(blob_name(text).alias("sha"), text.alias("text"))
-
     def unseen(rule: Rule) -> Column:
         return ~F.coalesce(F.array_contains("done", f"{rule.kind}:{rule.version}"), F.lit(False))
 
@@ -100,11 +98,16 @@ def scan_versions(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -
     if exists(spark, ledger):
         done = F.transform("findings", lambda f: F.concat_ws(":", f["rule"], f["version"].cast("string"))).alias("done")
         known = read_ledger(spark, ledger).select("sha", done)
+        # one row stands for each blob, so texts meet their digests by row and copies of one blob are not brought together
+        keyed = with_row_key(versions.select("text"))
+        blobs = keyed.groupBy(blob_name(text).alias("sha")).agg(F.min(F.struct(FILE_KEY, ROW_KEY)).alias("row"))
+        lacked = blobs.join(known, "sha", "left").filter(lacking).select("sha", "done", "row.*")
         # written, so that its size is known: where little is new, Spark sends it to the texts instead of moving them
-        asked = materialize(named.select("sha").distinct().join(known, "sha", "left").filter(lacking), "unseen")
-        scanned = named.join(asked, "sha").dropDuplicates(["sha"])
+        asked = materialize(lacked, "unseen")
+        scanned = keyed.join(asked, [FILE_KEY, ROW_KEY]).select("sha", "done", text.alias("text"))
     else:
-        scanned = named.dropDuplicates(["sha"]).withColumn("done", F.lit(None).cast("array<string>"))
+        blobs = versions.select(blob_name(text).alias("sha"), text.alias("text")).dropDuplicates(["sha"])
+        scanned = blobs.withColumn("done", F.lit(None).cast("array<string>"))
 
     def finding(rule: Rule) -> Column:
         spans = spans_of(F.col("text"), rule).alias("spans")
