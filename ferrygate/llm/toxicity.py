@@ -4,7 +4,7 @@ Features are the distinct hashed words of a text (runs of letters, lower case) a
 in numpy from confirmed toxic texts and from unlabelled texts of the learning folds, on the class-prior-corrected risk
 ``prior * R_P(+) + max(0, R_U(-) - prior * R_P(-))`` with the logistic loss: where the bracket turns negative on a batch, its
 gradient is reversed. Features are the words that are significantly more frequent among the toxic texts than among all texts: document
-counts of every bucket come from one combined aggregate over all rows of the learning folds. The prior is the toxic share among all
+counts of every bucket that a toxic text holds come from one combined aggregate over all rows of the learning folds. The prior is the toxic share among all
 labelled rows of these folds. A logistic calibration on labelled rows that training did not see turns
 margins into scores.
 
@@ -215,22 +215,23 @@ def _thinned(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.drop_duplicates("sketch")
 
 
-def text_shares(docs: DataFrame) -> np.ndarray:
-    """The share of all texts of ``docs(text)`` that hold a word of each bucket; at most ``2 ** BITS`` numbers reach the driver."""
+def text_shares(docs: DataFrame, wanted: np.ndarray) -> np.ndarray:
+    """The share of all texts of ``docs(text)`` that hold a word of a bucket, for the buckets ``wanted``; one number each reaches the driver."""
+    packed = np.packbits(np.bincount(wanted, minlength=1 << BITS).astype(bool))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, held = 0, np.zeros(1 << BITS, np.int64)
+        n, held, mine = 0, np.zeros(1 << BITS, np.int64), np.unpackbits(packed).astype(bool)
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 n += 1
                 held[distinct_buckets(text or "")] += 1
-        used = np.flatnonzero(held)
+        used = np.flatnonzero(held * mine)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(used, -1)), pa.array(np.append(held[used], n))], names=["bucket", "n"]
+            [pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(held[used], n))], names=["bucket", "n"]
         )
 
     # the row of bucket -1 counts texts
-    found = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     bucket, n = found["bucket"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
     texts, out = n[bucket < 0].sum(), np.zeros(1 << BITS)
     out[bucket[bucket >= 0]] = n[bucket >= 0]
@@ -286,8 +287,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> ToxicityModel:
 
     if not of("positive"):
         return ToxicityModel(np.zeros(1 << BITS, np.float32), 0.0, constant=0.0)
-    share = text_shares(docs.filter(usable))
-    model = train(of("positive"), of("unlabelled"), share, float(prior))
+    positive = of("positive")
+    share = text_shares(docs.filter(usable), np.concatenate(positive))  # a feature is a word of a toxic text
+    model = train(positive, of("unlabelled"), share, float(prior))
     return calibrate(model, of("labelled"), sets["labelled"]["toxic"].to_numpy(float)) if "labelled" in sets else model
 
 
