@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,8 +53,17 @@ def total(blocks: Column, units: Column, micros: Column, fine: Column, finer: Co
     zero = F.lit(0)
     number = lambda part: F.coalesce(part, zero).cast("decimal(20,0)")
     exact = number(blocks) * F.lit(Decimal(1 << BLOCK_BITS)) + number(units) + number(micros) * F.lit(MICROS)
-    small = [F.coalesce(part, zero).cast("double") * F.lit(unit) for part, unit in ((fine, FINE), (finer, FINER))]
-    summed = exact.cast("double") + (small[0] + (small[1] + F.coalesce(other, F.lit(0.0))))
+    fine, finer = (F.coalesce(part, zero).cast("double") * F.lit(unit) for part, unit in ((fine, FINE), (finer, FINER)))
+    beside = F.coalesce(other, F.lit(0.0))
+    small = fine + (finer + beside)
+    wide = lambda scale: (exact.cast(f"decimal(38,{scale})") + small.cast(f"decimal(38,{scale})")).cast("double")
+    # Rounding the decimals to a double before the rest is added would round twice.
+    summed = (
+        F.when((small == 0) | (F.abs(beside) >= 1) | (F.abs(small) >= 1) | (F.abs(exact) >= F.lit(Decimal(10**18))), exact.cast("double") + small)
+        .when(exact == 0, small)
+        .when(F.abs(exact) < F.lit(Decimal(10**9)), wide(28))
+        .otherwise(wide(18))
+    )
     return F.when(units.isNotNull() | other.isNotNull(), summed)
 
 
@@ -68,6 +78,20 @@ def exact_sum(value: Column) -> Column:
     return total(*(F.sum(part) for part in sum_parts(value)))
 
 
+def significant(value: Column, digits: int) -> Column:
+    """A double as text with so many significant digits, rounded once, from the number it is.
+
+    ``format_string`` rounds the shortest text that reads back as the double: what lies next to the middle of two results
+    is rounded up whichever side of it the number is on.
+    """
+    pattern = f"%.{digits - 1}e"
+
+    def text(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: pattern % v, na_action="ignore")
+
+    return F.pandas_udf(text, "string")(value)
+
+
 def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero on the binary double, as ``floor(|x| * 10^n + 0.5) / 10^n``."""
     factor = float(10**digits)
