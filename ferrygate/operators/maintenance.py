@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,15 +141,18 @@ def _spread(rows: DataFrame, wanted: dict[str, int], cluster: list[str]) -> Data
     """``rows`` with ``_leaf`` and ``_place``, dealt into the wanted number of files per leaf in the order of the curve."""
     spark = rows.sparkSession
     rows = rows.withColumn("_curve", curve(rows, cluster))
-    cuts = [i / CUTS for i in range(1, CUTS)]
-    bounds = rows.groupBy("_leaf").agg(F.percentile_approx("_curve", cuts, 1000).alias("_bounds"))
     starts = accumulate([0, *wanted.values()])
-    leaves = spark.createDataFrame([(*x, n) for x, n in zip(wanted.items(), starts)], "_leaf string, _wanted int, _start int").join(bounds, "_leaf")
-    at_most = lambda inside: F.size(F.filter("_bounds", inside))
-    low, high = at_most(lambda b: b < F.col("_curve")), at_most(lambda b: b <= F.col("_curve"))
-    # a place that many rows share lies between several bounds, and its rows are dealt to all of them
-    even = F.pmod("_place", F.lit(1_000_003)) / F.lit(1_000_003.0)
-    slot = F.least(F.floor((low + even * (high - low + 1)) * F.col("_wanted") / CUTS), F.col("_wanted") - 1)
+    leaves = spark.createDataFrame([(*x, n) for x, n in zip(wanted.items(), starts)], "_leaf string, _wanted int, _start int")
+    slot, large = F.lit(0), [leaf for leaf, files in wanted.items() if files > 1]
+    if large:  # a folder of one file needs no cuts
+        cuts = [i / CUTS for i in range(1, CUTS)]
+        bounds = rows.filter(F.col("_leaf").isin(large)).groupBy("_leaf").agg(F.percentile_approx("_curve", cuts, 1000).alias("_bounds"))
+        leaves = leaves.join(bounds, "_leaf", "left")
+        low, high = _bounds_passed(lambda b: b < F.col("_curve")), _bounds_passed(lambda b: b <= F.col("_curve"))
+        # a place that many rows share lies between several bounds, and its rows are dealt to all of them
+        even = F.pmod("_place", F.lit(1_000_003)) / F.lit(1_000_003.0)
+        dealt = F.least(F.floor((low + even * (high - low + 1)) * F.col("_wanted") / CUTS), F.col("_wanted") - 1)
+        slot = F.when(F.col("_wanted") > 1, dealt).otherwise(0)
     return (
         rows.join(leaves, "_leaf")
         .withColumn("_slot", (F.col("_start") + slot).cast("int"))
@@ -159,6 +162,13 @@ def _spread(rows: DataFrame, wanted: dict[str, int], cluster: list[str]) -> Data
     )
 
 
+def _bounds_passed(passed: Callable[[Column], Column]) -> Column:
+    """How many of the ``CUTS`` - 1 ascending bounds a row has passed, by halving."""
+    steps = F.array(*(F.lit(CUTS >> i) for i in range(1, CUTS.bit_length())))
+    step = lambda at, by: at + F.when(passed(F.element_at("_bounds", at + by)), by).otherwise(0)
+    return F.aggregate(steps, F.lit(0), step)
+
+
 def curve(rows: DataFrame, columns: list[str]) -> Column:
     """The place of a row on a Z-order curve over text columns, each cut into equal shares of the rows.
 
@@ -180,9 +190,14 @@ def curve(rows: DataFrame, columns: list[str]) -> Column:
 
 
 def _cuts_below(cuts: list[int], number: Column) -> Column:
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < number))
+    def below(part: list[int], n: Column) -> Column:
+        if not part:
+            return F.lit(0)
+        half = len(part) // 2
+        return F.when(n > part[half], below(part[half + 1 :], n) + (half + 1)).otherwise(below(part[:half], n))
+
+    # the lambda's variable stands for the number, which is worked out once
+    return F.element_at(F.transform(F.array(number), lambda n: below(cuts, n)), 1)
 
 
 def _leading_bytes(text: Column) -> Column:
