@@ -15,8 +15,8 @@ the key once per file and reads the one span of ids it names. Files are committe
 names of its own, Spark keeps the manifest rows of the attempts that succeeded, and exactly those files are moved.
 
 Encoding remembers what it has seen. A text is cut before each space that follows no white space, where byte-level splitting never
-reaches across; a piece seen before is a dictionary read, a new one is split as the vocabulary's own rule has it and only its
-unknown pre-tokens go through the vocabulary's merges. Texts with special strings, and texts of vocabularies with another rule, are encoded whole.
+reaches across; a piece seen before is a dictionary read, a new one is the word it begins with, mostly seen before too, and a rest that is
+split as the vocabulary's own rule has it; only unknown pre-tokens go through the vocabulary's merges. Texts with special strings, and texts of vocabularies with another rule, are encoded whole.
 
 Defined cases: a null text is empty and has the end id alone; rows with a null id come first and are reached by the key
 ``None``; documents with equal ids lie side by side in the order of their texts' hashes, and the key names them all; an empty
@@ -50,8 +50,8 @@ from .warc import file_system
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 FILE_BYTES = 64 << 20
-#: Pieces, and pre-tokens, whose ids a worker remembers: at most twice as many, the older half goes.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers, and four times the other pre-tokens: at most twice as many, the older half goes.
+REMEMBERED = 640_000
 MAGIC = b"IDXIDS01"
 HEADER = ["width", "docs", "ids", "keys", "nulls", "levels", "bits", "reserved"]
 
@@ -69,7 +69,7 @@ _PLAIN = re.compile(f"[\x00-\x7f{_LETTER}]*")
 _SPLIT = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^ \t\n\r\f\v{_LETTER}0-9]+|[ \t\n\r\f\v]+(?![^ \t\n\r\f\v])|[ \t\n\r\f\v]+"
 )
-_AFTER_BLANK = re.compile(r"\s ")
+_STEM = re.compile(f"[{_LETTER}]+")
 _CUT = re.compile(r"(?<=\S) ")
 
 
@@ -108,7 +108,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.pieces, self.parts = Remembered(remembered), Remembered(remembered)
+        self.pieces, self.parts = Remembered(remembered), Remembered(max(1, remembered // 4))
+        self.tokenize = self.tokenizer.model.tokenize
         #: What each id looks like in a payload.
         self.packed = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.letters = _byte_letters()
@@ -127,45 +128,69 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _merged(self, part: str) -> bytes:
+        """Ids of one pre-token, through the merges."""
+        if part.isascii() and part[1:].isalnum() and (part[0] == " " or part[0].isalnum()):
+            written = self.space + part[1:] if part[0] == " " else part
+        else:
+            written = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.tokenize(written)])
+
     def _part(self, part: str) -> bytes:
-        """Ids of one pre-token."""
         found = self.parts.get(part)
-        if found is None:
-            if part.isascii() and part[1:].isalnum() and (part[0] == " " or part[0].isalnum()):
-                written = self.space + part[1:] if part[0] == " " else part
-            else:
-                written = part.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-            found = self.parts.put(part, self._packed([t.id for t in self.tokenizer.model.tokenize(written)]))
-        return found
+        return self.parts.put(part, self._merged(part)) if found is None else found
+
+    def _parts(self, text: str) -> bytes:
+        return b"".join(map(self._part, _SPLIT.findall(text)))
 
     def piece(self, text: str) -> bytes:
-        if not (text.isascii() or _PLAIN.fullmatch(text)):
-            return self._whole(text)
-        parts = _SPLIT.findall(text)
-        return self._part(parts[0]) if len(parts) == 1 else b"".join(map(self._part, parts))
+        return self._parts(text) if text.isascii() or _PLAIN.fullmatch(text) else self._whole(text)
 
     def _word(self, word: str) -> bytes:
-        """``piece(" " + word)``, without the split for plain words and plain words before one sign."""
-        if word.isascii():
-            if word.isalpha():
-                return self._part(" " + word)
-            if word[:-1].isalpha() and not word[-1].isalnum() and word[-1] > " ":
-                return self._part(" " + word[:-1]) + self._part(word[-1])
-        return self.piece(" " + word)
+        """``piece(" " + word)``: the letters that a word begins with are a pre-token, and remembered as the word they are."""
+        found = self.pieces.get(word)
+        if found is not None:
+            return found
+        stem = _STEM.match(word)
+        if stem is None:
+            found = self.piece(" " + word)
+        elif stem.end() == len(word):
+            if word.isascii():
+                found = b"".join([self.packed[t.id] for t in self.tokenize(self.space + word)])
+            else:
+                found = self._merged(" " + word)
+        else:
+            tail = word[stem.end() :]
+            if not (tail.isascii() or _PLAIN.fullmatch(tail)):
+                found = self._whole(" " + word)
+            else:
+                found = self._word(stem[0]) + (self._part(tail) if len(tail) == 1 else self._parts(tail))
+                if "\n" in tail:  # two words with a line's end between them seldom meet again
+                    return found
+        # what white space at the end gives depends on what follows
+        return self.pieces.put(word, found) if word and not word[-1].isspace() else found
 
     def encode(self, text: str) -> bytes:
         if not self.by_pieces or any(t in text for t in self.special):
             return self._whole(text)
-        first, *rest = _CUT.split(text) if _AFTER_BLANK.search(text) else text.split(" ")
+        first, *rest = text.split(" ")
         out = list(map(self.pieces.now.get, rest))
-        if None in out:
-            get, put = self.pieces.get, self.pieces.put
-            for i, word in enumerate(rest):
-                if out[i] is None:
-                    found = get(word)
-                    out[i] = put(word, self._word(word)) if found is None else found
+        if rest and first[-1:].isspace():
+            return self._cut(text)
+        at, last = -1, len(rest) - 1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            word = rest[at]
+            if at < last and (not word or word[-1].isspace()):
+                return self._cut(text)
+            out[at] = self._word(word)
         return (self.piece(first) if first else b"") + b"".join(out)
 
+    def _cut(self, text: str) -> bytes:
+        """For texts where a space follows white space: these are not cut."""
+        first, *rest = _CUT.split(text)
+        return (self.piece(first) if first else b"") + b"".join(map(self._word, rest))
+
 
 def worker_encoder(tokenizer_path: str) -> Encoder:
     """The encoder of this Python worker: it stays between tasks, so what one has learnt serves the next."""

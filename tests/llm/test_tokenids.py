@@ -143,3 +143,17 @@ def test_documents_of_the_tables(spark, library):
     sf = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     check(library, rows, tokenids.op12_token_ids(spark, sf).collect())
+
+
+def test_words_across_a_lines_end_are_not_remembered_together():
+    encoder = tokenids.Encoder(PATH)
+    texts = [f"say word{'abcdefghij'[a]}.\nThen{'klmnopqrst'[b]} more" for a in range(10) for b in range(10)]
+    for text in texts * 2:
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == whole(LIBRARY, text)
+    assert len(encoder.pieces.now) < 30 and len(encoder.parts.now) < 30
+
+
+def test_white_space_at_the_end_is_not_remembered():
+    encoder = tokenids.Encoder(PATH)
+    for text in ["x foo\n", "x foo\n bar", "x ", "x  y", "\n a b", "x foo\n\n", "a\xa0 b", "a\xa0", "x foo \n", "x foo \n y", " ", "  ", " a", "foo\n", "foo\n x"] * 2:
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == whole(LIBRARY, text), repr(text)
